@@ -12,6 +12,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .personal_data import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ogg import from_ogg, to_ogg
+
+    return from_ogg(to_ogg(table(spark, sf_dir, "documents")))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
