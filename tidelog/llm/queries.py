@@ -18,6 +18,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import plan
+
+    return plan(table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .personal_data import digests
 
@@ -30,6 +36,12 @@ def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_ogg(to_ogg(table(spark, sf_dir, "documents")))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import join
+
+    return join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import round_trip
 
