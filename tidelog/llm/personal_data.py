@@ -140,7 +140,8 @@ def digests(docs: DataFrame) -> DataFrame:
     s = scan(docs)
     base = F.filter("spans", lambda x: x["kind"].isin(*BASE))
     text = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    of = lambda kind: F.filter("spans", lambda x: x["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE]
     return s.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
