@@ -2,7 +2,7 @@
 
 Fit, on at most SAMPLE vectors taken by hash: coarse centroids (k-means of unit vectors), and a codebook for each of
 PARTS slices of the residuals. Every vector is indexed: its cell and one byte a slice. A query visits the nearest cells
-until it has seen PROBES cells and LEAST_ROWS rows; in each, distances are sums of entries of its asymmetric table, the
+until it has seen `probes` cells (measured on the sample) and LEAST_ROWS rows; in each, distances are sums of entries of its asymmetric table, the
 best RERANK are measured exactly, in double precision on the original vectors, and the best k go on to a merge.
 
 Cells are cut into chunks of bounded expected size and the queries of a cell into blocks, so a cell that holds a third of
@@ -30,12 +30,16 @@ from ._text import column_of
 #: Vectors that the centroids and codebooks are fitted on, at most.
 SAMPLE = 16_384
 #: Cells at most, and rows that a cell is meant to hold.
-CELLS, CELL_ROWS = 1024, 256
+CELLS, CELL_ROWS = 1024, 512
 PARTS, CODES = 16, 256
-PROBES, LEAST_ROWS = 24, 4096
+#: Cells that a query visits at least, and rows. How many more the data need is measured when the index is fitted: so
+#: many that of PROBED queries of the sample, TARGET of the nearest in the sample lie in the cells visited. Clustered
+#: vectors need few; vectors without structure need a large share, which no coarse quantiser can spare.
+PROBES, LEAST_ROWS = 8, 4096
+PROBED, TARGET = 256, 0.96
 RERANK = 48
 #: Rows of a chunk of a cell, and queries of a block.
-CHUNK, QUERY_BLOCK = 256, 1024
+CHUNK, QUERY_BLOCK = 1024, 1024
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -71,8 +75,20 @@ class Index:
         cells = max(1, min(CELLS, rows // CELL_ROWS, n))
         self.cells = kmeans(sample, cells, 10, 1)
         residual = self.sliced(sample - self.cells[nearest(sample, self.cells)[0]])
+        self.probes = self._probes(sample)
         self.books = np.stack([kmeans(residual[:, m], min(CODES, n), 6, 2 + m) for m in range(PARTS)])
 
+    def _probes(self, sample: np.ndarray) -> int:
+        """Cells to visit for TARGET of the 5 nearest of the first PROBED vectors of the sample."""
+        ask = sample[:PROBED]
+        near = ask @ sample.T
+        near[np.arange(len(ask)), np.arange(len(ask))] = -2
+        top = np.argsort(-near, axis=1, kind="stable")[:, :5]
+        order = np.argsort((self.cells * self.cells).sum(1) - 2 * (ask @ self.cells.T), axis=1, kind="stable")
+        place = np.argsort(order, axis=1)
+        ranks = np.take_along_axis(place, nearest(sample, self.cells)[0][top], 1)
+        return max(PROBES, int(np.quantile(ranks, TARGET, method="higher")) + 1)
+
     def sliced(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), PARTS * self.width), np.float32)
         out[:, : self.dim] = x
@@ -144,7 +160,7 @@ def search(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
             q = units(column_of(b, "v"))
             order = np.argsort((cells * cells).sum(1) - 2 * (q @ cells.T), axis=1, kind="stable")
             seen = np.cumsum(by_cell[order], axis=1) - by_cell[order]
-            want = ((np.arange(order.shape[1]) < PROBES) | (seen < LEAST_ROWS)) & (by_cell[order] > 0)
+            want = ((np.arange(order.shape[1]) < fitted.value.probes) | (seen < LEAST_ROWS)) & (by_cell[order] > 0)
             i, j = np.nonzero(want)
             take = pa.array(i)
             yield pa.RecordBatch.from_arrays([pa.array(order[i, j]), column_of(b, "vec_id").take(take), column_of(b, "v").take(take)], ["cell", "query_id", "q"])

@@ -24,6 +24,18 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import search
+
+    return search(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import predict
+
+    return predict(table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .personal_data import digests
 
@@ -36,6 +48,13 @@ def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_ogg(to_ogg(table(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import join
 
