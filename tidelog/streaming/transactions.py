@@ -1,0 +1,39 @@
+"""Transactions out of an endless stream of frames: buffered by connection until COMMIT, in the state store.
+
+Frames arrive in order of seq within an epoch and in one partition of it. A BEGIN inside a transaction drops what was
+open, as a new connection would; what never commits never comes out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+_STATE = "xid long, seqs array<long>, kinds array<string>"
+OUT = "epoch int, xid long, commit_lsn long, ordinal long, seq long, type string"
+
+
+def assemble(frames: DataFrame) -> DataFrame:
+    """epoch, xid, commit_lsn, ordinal, seq, type of each change of committed transactions, from streaming frames."""
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        xid, seqs, kinds = state.get if state.exists else (None, [], [])
+        seqs, kinds, out = list(seqs), list(kinds), []
+        for f in pd.concat(list(batches)).sort_values("seq").itertuples():
+            if f.msg_type == "BEGIN":
+                xid, seqs, kinds = int(f.xid), [], []
+            elif f.msg_type in ("INSERT", "UPDATE", "DELETE") and xid is not None:
+                seqs.append(int(f.seq))
+                kinds.append(f.msg_type)
+            elif f.msg_type == "COMMIT" and xid is not None:
+                out += [(key[0], xid, int(f.end_lsn), k, s, t) for k, (s, t) in enumerate(zip(seqs, kinds, strict=True))]
+                xid, seqs, kinds = None, [], []
+        state.update((xid, seqs, kinds))
+        yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in OUT.split(", ")])
+
+    return frames.select("epoch", "seq", "msg_type", "xid", "end_lsn").groupBy("epoch").applyInPandasWithState(step, OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+
+
