@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from .ordered import WIDTH, last_known, running_sum
 
 DML = ("INSERT", "UPDATE", "DELETE")
@@ -47,7 +48,7 @@ def assemble(frames: DataFrame, source_id: str = "cdc-demo", width: int = WIDTH)
 
     commit_lsn is the end of the transaction. UPDATE has data and old_data; DELETE has its old row as data.
     """
-    placed = positioned(frames, width)
+    placed = written(positioned(frames.where(F.col("msg_type").isin("BEGIN", "COMMIT", "RELATION", *DML)), width))  # read three times
     ends = placed.where("msg_type = 'COMMIT'").groupBy("epoch", F.col("tx.seq").alias("tx_seq")).agg(F.min("end_lsn").alias("commit_lsn"))
     dml = placed.where(F.col("msg_type").isin(*DML)).withColumn("tx_seq", F.col("tx.seq")).drop("commit_lsn")
     dml = running_sum(dml, ["epoch"], "seq", F.lit(1), "n", width)

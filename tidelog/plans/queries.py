@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import counters, pgtypes
 from ..operators import apply, audit, compat, contract, decode, filters, ledger, publication, relations, sinks
 from ..operators.store import Store
-from ..sources import changes
+from ..sources import changes, scratch
 from ..streaming import apply as streaming
 from ..streaming import supervisor
 from . import fixtures
@@ -35,7 +33,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.frames(_log(spark, sf_dir))
+    return scratch.written(changes.frames(_log(spark, sf_dir)))  # as a real source would have them: stored
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +138,7 @@ FROM x WHERE xid % 6 < 5 GROUP BY ALL"""
 def q10_protocol_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each transaction as a connection of its own, broken in one of five ways or not at all."""
     log = _log(spark, sf_dir)
-    f = changes.frames(log)
+    f = scratch.written(changes.frames(log))
     by = log.select(F.col("event_id").alias("e"), "xid")
     f = f.where("msg_type IN ('INSERT', 'UPDATE', 'DELETE')").withColumn("e", F.floor(F.col("seq") / 4)).drop("xid").join(by, "e").drop("e")
     f = f.withColumn("epoch", F.col("xid").cast("int")).withColumn("kind", F.col("xid") % 6)
@@ -455,12 +453,6 @@ def q34_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supervisor.schedule(spark, supervisor.Retry(), 10)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A folder of its own where the session keeps shared files; on this machine only where it names none, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{at.rstrip('/')}/{uuid.uuid4().hex}" if at else tempfile.mkdtemp(prefix="stream-")
-
-
 def _streamed(spark: SparkSession, e: DataFrame, at: str, sink: Callable[[DataFrame, int], None]) -> None:
     streaming.run(spark, f"{at}/events", e.schema, sink, f"{at}/progress", files=2).awaitTermination()
 
@@ -470,7 +462,7 @@ SQL["q35_streaming_state"] = SQL["q16_replica_state"]
 
 def q35_streaming_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state of q16 by micro-batches of event files into the replica."""
-    at, e = scratch(spark), changes.events(_log(spark, sf_dir), partial=False)
+    at, e = scratch.folder(spark), changes.events(_log(spark, sf_dir), partial=False)
     newest = e.agg(F.max("xid")).first()[0] or 1
     cut = F.floor((F.col("xid") - 1) * 3 / newest)  # three files in log order, whole transactions in each
     for k in range(3):
@@ -485,7 +477,7 @@ SQL["q36_streaming_replay"] = f"WITH {LOG} SELECT xid, commit_lsn, count(*) AS e
 
 def q36_streaming_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger after a failure between the sink's commit and the stream's: replayed transactions are in it once."""
-    at, e = scratch(spark), changes.events(_log(spark, sf_dir), partial=False)
+    at, e = scratch.folder(spark), changes.events(_log(spark, sf_dir), partial=False)
     e.coalesce(1).write.parquet(f"{at}/events")
     store = Store(spark, f"{at}/store")
     sink, failed = sinks.replica(store, {"public.user_state": (KEY, COLUMNS)}), []
