@@ -27,7 +27,7 @@ WEIGHTS = (5, 2, 1)
 #: Passes over a source at most.
 MOST = 3
 #: Rows that a hash range of a source is meant to hold.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 #: Ranges of finish time for each unit, units that are told apart, and finer ranges in the one where the budget ends.
 COARSE, UNITS, FINE = 1024, 8, 4096
 SEED = 20261126
@@ -54,10 +54,13 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return s.select("source", "rank", "source_size", "n", "total", "target")
 
 
-def passes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """row (a struct of docs' columns), size, source_size, target and passes (how often the mix takes it) of each row."""
+def passes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, keep: list[str] | None = None) -> DataFrame:
+    """row (a struct of docs' columns, or of those to keep), size, source_size, target and passes of each row.
+
+    passes: how often the mix takes it. Only the columns kept are shuffled.
+    """
     text = docs["text"]
-    sized = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), size_of(text).alias("size"), F.xxhash64(F.lit(SEED), docs["doc_id"], text).bitwiseAND((1 << 63) - 1).alias("h"))
+    sized = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), size_of(text).alias("size"), F.xxhash64(F.lit(SEED), docs["doc_id"], text).bitwiseAND((1 << 63) - 1).alias("h"))
     narrow = written(sized.select("doc_id", "source", "size", "h"))
     sources = written(targets(narrow, weights, most))
 
@@ -128,5 +131,5 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """doc_id, size, source_size, target, taken (words, passes counted) and passes of every row."""
-    out = passes(docs.select("doc_id", "source", "text"), weights, most)
+    out = passes(docs, weights, most, keep=["doc_id"])
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("passes") * F.col("size")).alias("taken"), "passes")
