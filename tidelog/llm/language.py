@@ -28,6 +28,7 @@ from ._text import U64, column_of, lower_ascii, raw, slices, texts
 
 ORDER = 4
 SAMPLE, SAMPLE_BYTES = 300, 16_384
+PARTS = 64
 #: Byte strings that a table of one length keeps, most frequent first.
 ENTRIES = 1 << 18
 UND = "und"
@@ -155,9 +156,11 @@ def train(docs: DataFrame, learn: Column | None = None) -> Trees:
     """Trees from docs(doc_id, text, lang), of the rows where learn holds: by default those not held out."""
     learn = ~held_out(docs["doc_id"]) if learn is None else learn
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.octet_length("text").between(1, SAMPLE_BYTES)).select("lang", "text", F.xxhash64("text").alias("h"))
-    # the limit on the rank is applied in each task before anything is shuffled
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    rows = rows.withColumn("r", order).where(F.col("r") <= SAMPLE).select("lang", "text")
+    # first of each part of a language, then of the language: limits on ranks are applied in each task before a shuffle,
+    # and no task meets more than SAMPLE rows of each of PARTS parts
+    for keys in (["lang", "part"], ["lang"]):
+        rows = rows.withColumn("part", F.pmod("h", F.lit(PARTS))).withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "text"))).where(F.col("r") <= SAMPLE)
+    rows = rows.select("lang", "text")
     got = rows.toArrow()  # SAMPLE x SAMPLE_BYTES for each language, at most
     return fit(sorted(zip(got.column("lang").to_pylist(), got.column("text").to_pylist(), strict=True)))
 
