@@ -9,7 +9,7 @@ Two documents link when percent * |union| <= 100 * |intersection| of their sets
    reach the threshold). Columns of the incidence matrix with few entries are multiplied out, overlaps are summed for
    each pair, and pairs below the bound that follows from their sizes are discarded. Columns with many entries are not
    multiplied out: their classes are tied into one group, in runs of sizes that could link.
-4. Pairs left and groups give candidate components. Of each, whole n-gram sets are brought together in blocks of
+4. Pairs left and groups give candidate components. Of each, whole texts are brought together in blocks of
    bounded size, every pair of blocks is multiplied exactly, and only links that join two components leave a block.
 5. Components of those links give the result.
 
@@ -21,12 +21,14 @@ doc_id that is reached; where no row of a component has a doc_id it is null. An
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ._graph import components, written
 from ._text import BYTE_VALUES, U64, column_of, lower_ascii, mix, raw, slices, span_hashes, spans, table_of, texts
@@ -34,13 +36,13 @@ from ._text import BYTE_VALUES, U64, column_of, lower_ascii, mix, raw, slices, s
 #: Bytes between words.
 GAP = table_of((9, 13), (32, 32))
 #: How many n-grams the order of trial can know as shared, and from which count of documents on.
-SHARED, SHARED_FROM = 1 << 18, 24
+SHARED, SHARED_FROM = 1 << 19, 8
 #: N-grams counted at once in a task, and the count from which a task reports one.
-COUNTED, REPORTED_FROM = 1 << 21, 3
+COUNTED, REPORTED_FROM = 3 << 21, 2
 #: Entries up to which a column of the incidence matrix is multiplied out pair by pair.
-SHORT = 24
-#: Classes in a block of the exact product.
-BLOCK = 256
+SHORT = 32
+#: Classes in a block of the exact product, and entries up to which its columns are multiplied out one by one.
+BLOCK, SPARSE = 512, 24
 #: Bits of the filter that spares reading the sets of classes without candidates; its size is fixed.
 FILTER_BITS = 1 << 25
 
@@ -213,25 +215,23 @@ def _columns(percent: int):
     return run
 
 
-def _sets(n: int, wanted):
-    """v and its whole set, of each class that may be wanted."""
+def _wanted(n: int, wanted):
+    """v and text of the rows that may stand for a class with candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
-        seen: set[int] = set()
         for b in slices(batches):
-            vs, sets = [], []
-            for s in ngram_sets(texts(column_of(b, "text")), n):
+            column = texts(column_of(b, "text"))
+            keep, vs = [], []
+            for i, (s, d) in enumerate(zip(ngram_sets(column, n), column_of(b, "d").to_pylist(), strict=True)):
                 if not len(s):
                     continue
                 v = class_of(s)
-                k = v & (FILTER_BITS - 1)
-                if bits[k >> 5] >> np.uint32(k & 31) & np.uint32(1) and v not in seen:
-                    if len(seen) < 1 << 17:
-                        seen.add(v)
+                k = (v ^ d) & (FILTER_BITS - 1)
+                if bits[k >> 5] >> np.uint32(k & 31) & np.uint32(1):
+                    keep.append(i)
                     vs.append(v)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(vs, pa.int64()), pa.array(sets, pa.binary())], ["v", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(vs, pa.int64()), column.take(pa.array(keep, pa.int64())).cast(pa.string())], ["v", "text"])
 
     return run
 
@@ -247,9 +247,22 @@ def block_links(first: list[np.ndarray], second: list[np.ndarray] | None, percen
     keep = count[column] > 1
     column, row = column[keep], row[keep]
     order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
-    overlap = np.zeros((m, m), np.float32)
-    dense, column = np.unique(column, return_inverse=True)
+    column, row = column[order], row[order]  # within a column, rows ascend
+    grams, start, count = np.unique(column, return_index=True, return_counts=True)
+    # columns of few entries are multiplied out entry by entry, columns of one length together
+    overlap = np.zeros(m * m, np.float32)
+    for k in np.unique(count[count <= SPARSE]).tolist():
+        entries = row[start[count == k][:, None] + np.arange(k)]
+        i, j = np.triu_indices(k, 1)
+        step = max(1, (1 << 21) // len(i))
+        for c in range(0, len(entries), step):
+            overlap += np.bincount((entries[c : c + step, i] * m + entries[c : c + step, j]).ravel(), minlength=m * m)
+    overlap = overlap.reshape(m, m)
+    overlap += overlap.T
+    # the others as dense columns
+    keep = count[np.searchsorted(grams, column)] > SPARSE
+    row = row[keep]
+    dense, column = np.unique(column[keep], return_inverse=True)
     width = max(64, (1 << 22) // m)
     for a in range(0, len(dense), width):
         x, y = np.searchsorted(column, [a, a + width])
@@ -265,12 +278,18 @@ def block_links(first: list[np.ndarray], second: list[np.ndarray] | None, percen
     return i, j
 
 
-def _blocks(percent: int):
+def _blocks(n: int, percent: int):
     def run(group: pa.Table) -> pa.Table:
-        v, block = group.column("v").to_numpy(), group.column("own").to_numpy()
-        sets = [np.frombuffer(x.as_buffer(), U64) for x in group.column("grams").combine_chunks()]
-        x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
-        first, second = np.flatnonzero(block == x), np.flatnonzero(block == y) if x != y else None
+        # rows of one doc_id and one set are alike
+        v, once = np.unique(group.column("v").to_numpy(), return_index=True)
+        group = group.take(pa.array(once))
+        # a row is in the first block of its pair, in the second, or in both if they are one
+        own, one = group.column("own").to_pylist(), group.column("x")[0].as_py() == group.column("y")[0].as_py()
+        # texts are moved, not sets: they are less than half as large, and sets are made again in no time
+        sets = list(ngram_sets(texts(group.column("text").combine_chunks()), n))
+        x = group.column("x")[0].as_py()
+        in_first = np.array([o == x for o in own], bool)
+        first, second = np.flatnonzero(in_first), None if one else np.flatnonzero(~in_first)
         rows = np.concatenate([first, second]) if second is not None else first
         root = {}
 
@@ -293,8 +312,47 @@ def _blocks(percent: int):
     return run
 
 
+def _tagged(n: int, name: str):
+    """The rows as they are, and their class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            v = [class_of(s) if len(s) else None for s in ngram_sets(texts(column_of(b, "text")), n)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(v, pa.int64())], [*b.schema.names, name])
+
+    return run
+
+
+def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """One row of docs for each component: the one with the smallest doc_id (nulls last), then the smallest text.
+
+    Documents without words are linked with nothing, so all of them stay. Columns stay as they are.
+    """
+    _, named = _classes(docs.select("doc_id", "text"), n, percent)
+    least = F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("v"))
+    stands = named.groupBy("label").agg(F.min(least).alias("x")).select(F.col("x.v").alias("v"))
+    name = "v"
+    while name in docs.columns:
+        name += "_"
+    tagged = docs.mapInArrow(_tagged(n, name), StructType([*docs.schema.fields, StructField(name, LongType())]))
+    rows = tagged.select(F.struct(*[tagged[c] for c in docs.columns]).alias("row"), tagged[name].alias("v"))
+    # copies meet in their own tasks first, so a large group of them is never shuffled whole
+    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    one = rows.where("v IS NOT NULL").groupBy("v").agg(F.min_by("row", order).alias("row"))
+    return one.join(stands, "v", "left_semi").select("row.*").unionByName(rows.where("v IS NULL").select("row.*"))
+
+
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles (size of its set) and component_id of every row of docs(doc_id, text)."""
+    rows, named = _classes(docs, n, percent)
+    whole = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    by_class = written(named.join(whole, "label").select("v", "component_id"))
+    out = rows.join(by_class, "v", "left")
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, size, v, null without words), and classes (v, least doc_id, label of their component)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     docs = docs.select("doc_id", "text")
@@ -322,23 +380,34 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     near = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("overlap").alias("overlap")).where(F.col("overlap") + rest >= must)
     candidates = written(components(near.select("a", "b")))
 
+    # a large group is cut by size into bands so wide that links never reach further than the next one
+    sized = candidates.join(rows.where("v IS NOT NULL").groupBy("v").agg(F.first("size").alias("size")), F.col("node") == F.col("v")).select("node", "label", "size")
     group = candidates.groupBy("label").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    member = candidates.join(group, "label").select("node", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"))
-    bit = F.col("node").bitwiseAND(FILTER_BITS - 1)
-    words = candidates.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(node & 31 as int))")).alias("bits")).toPandas()
+    log = F.floor(F.log("size") / (1.0001 * math.log(100 / percent))) if percent < 100 else F.col("size")
+    banded = sized.join(group, "label").select("node", "label", F.when(F.col("n") > BLOCK, log).otherwise(F.lit(0)).cast("long").alias("band"))
+    bands = banded.groupBy("label", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    order = Window.partitionBy("label").orderBy("band").rangeBetween(1, 1)
+    below = Window.partitionBy("label").orderBy("band").rangeBetween(-1, -1)
+    bands = bands.withColumns({"above": F.coalesce(F.max("blocks").over(order), F.lit(0)), "below": F.coalesce(F.max("blocks").over(below), F.lit(0))})
+    member = banded.join(bands, ["label", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # one row of each class gives its set: the one with the class's smallest doc_id
+    classes = written(rows.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("least")))
+    bit = candidates.join(classes, candidates.node == classes.v).select(F.col("v").bitwiseXOR(F.xxhash64("least")).bitwiseAND(FILTER_BITS - 1).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).toPandas()
     wanted = np.zeros(FILTER_BITS >> 5, np.uint32)
     wanted[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    sets = docs.mapInArrow(_sets(n, sc.broadcast(wanted)), "v long, grams binary")
-    sets = sets.join(member, sets.v == member.node).groupBy("v", "label", "blocks", "own").agg(F.first("grams").alias("grams"))
-    dealt = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("v", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "grams")
-    links = dealt.groupBy("label", "x", "y").applyInArrow(_blocks(percent), "a long, b long")
+    sets = docs.withColumn("d", F.xxhash64("doc_id")).mapInArrow(_wanted(n, sc.broadcast(wanted)), "v long, text string")
+    sets = sets.join(member, sets.v == member.node)
+    block = lambda band, k: F.struct(band.alias("band"), k.cast("int").alias("k"))
+    mine = block(F.col("band"), F.col("own"))
+    upto = lambda n: F.slice(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1), F.lit(1), F.col(n))
+    pair = lambda x, y: F.struct(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
+    same = F.transform(upto("blocks"), lambda k: pair(mine, block(F.col("band"), k)))
+    up = F.transform(upto("above"), lambda k: pair(mine, block(F.col("band") + 1, k)))
+    down = F.transform(upto("below"), lambda k: pair(mine, block(F.col("band") - 1, k)))
+    dealt = sets.withColumn("p", F.explode(F.concat(same, up, down))).select("v", "label", mine.alias("own"), F.col("p.x").alias("x"), F.col("p.y").alias("y"), "text")
+    links = dealt.groupBy("label", "x", "y").applyInArrow(_blocks(n, percent), "a long, b long")
     label = components(links)
 
-    # a class has rows, a component has classes: the smallest doc_id by class first, then by component
-    classes = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("least"))
     named = classes.join(label, classes.v == label.node, "left").select("v", "least", F.coalesce("label", "v").alias("label"))
-    whole = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_class = written(named.join(whole, "label").select("v", "component_id"))
-    out = rows.join(by_class, "v", "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows, written(named)
