@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import re._parser as sre
 import zlib
 
 import public_tokenizers
@@ -134,6 +135,42 @@ def test_licenses(odd, none, spark):
         assert licenses._GATE.search(r.keyword) or any(x in r.pattern.pattern for x in (b"licen", b"spdx", b"warrant", b"redistrib", b"bsd", b"copyright", b"apache", b"commons", b"proprietary", b"public domain", b"gpl", b"mit no", b"psl", b"cc by", b"written", b"reserved", b"do what", b"permission", b"contributors", b"advertising", b"altered", b"remote network", b"neighboring", b"same terms", b"cc0", b"wtfpl", b"cecill", b"mulan")), r
 
 
+def phrases(pattern):
+    """Texts that a pattern matches: each alternative and optional part is taken at least once, classes by their first character."""
+
+    def of(parsed):
+        out = [""]
+        for op, arg in parsed:
+            if op is sre.LITERAL:
+                some = [chr(arg)]
+            elif op is sre.IN:
+                some = [chr(x if kind is sre.LITERAL else x[0]) for kind, x in arg[:1]]
+            elif op is sre.SUBPATTERN:
+                some = of(arg[3])
+            elif op is sre.BRANCH:
+                some = [x for branch in arg[1] for x in of(branch)]
+            else:
+                assert op is sre.MAX_REPEAT, op
+                inner = of(arg[2])
+                some = [*([""] if not arg[0] else []), *(x * max(1, arg[0]) for x in inner)]
+            out = [a + b for a in out for b in some]
+        return out
+
+    return of(sre.parse(pattern))
+
+
+def test_every_license_alternative_is_found_alone(spark):
+    rows = [(label, p) for block in (licenses.FAMILIES, licenses.NOTICES) for row in block.strip().split("\n") for label, p in [(row.split(" ; ")[0], row.split(" ; ")[-1])]]
+    want = [(k, f"zz {t.upper()} zz", label) for k, (label, t) in enumerate((label, t) for label, p in rows for t in phrases(p))]
+    assert len(want) > 400 and len({label for label, _ in rows} - {label for *_, label in want}) == 0
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(spark.createDataFrame([w[:2] for w in want], "doc_id long, text string")).collect()}
+    assert not [(text, label, got[k]) for k, text, label in want if label not in got[k]]
+    for text, label in (("GNU GPL v3", "gpl-3"), ("gnu gpl 2", "gpl-2"), ("without prior written permission", "proprietary"), ("without the prior written consent", "proprietary"), ("PSF License", "psf-2"), ("Internet Systems Consortium License", "isc"), ("PNG Reference Library License", "libpng"), ("do what the fuck you want to public license", "wtfpl"), ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation", "bsl-1")):
+        assert label in {d.label for d in licenses.detect(b" " + b" ".join(licenses._WORD.findall(text.lower().encode())) + b" ")}, text
+    for r in licenses.RULES:
+        assert all(r.keyword in t.encode() for t in phrases(r.pattern.pattern.decode().replace("(?= )", ""))), r
+
+
 def test_ogg(odd, none):
     rng = random.Random(3)
     for n in (0, 1, 63, 64, 254 * 64, 255 * 64, 4000, 255 * 255, 300_000):

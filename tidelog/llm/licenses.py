@@ -1,9 +1,10 @@
 """License scan: ordered signature rules behind a keyword gate.
 
 A text is lower-cased (A-Z) and cut into words; rules are regular expressions over the words joined by single blanks. A
-rule is tried only when its keyword occurs, and no rule is tried when the text holds none of the keywords' stems. Where
-detections overlap, one that lies inside another of the same or a higher priority is suppressed. The base phrases are
-found beside the rules at every place where their words stand consecutively, and their labels always stay.
+rule is tried only when its keyword occurs, which every match of its pattern contains, and no rule is tried when the text
+holds none of the stems, one of which every match contains. Where detections overlap, one that lies inside another of the
+same or a higher priority is suppressed. The base phrases are found beside the rules at every place where their words
+stand consecutively, and their labels always stay.
 
 Null and empty texts have no words and no labels. Rows are independent; an empty table gives an empty result.
 """
@@ -34,152 +35,175 @@ class Rule(NamedTuple):
     score: float
 
 
-# label ; keyword ; names, as patterns over words joined by blanks, most telling first
+# label ; names, as patterns over words joined by blanks, most telling first
 FAMILIES = r"""
-mit ; mit ; (?:the )?mit (?:expat )?licen[sc]e|licen[sc]ed under (?:the )?mit|expat licen[sc]e
-mit-0 ; mit ; mit no attribution(?: licen[sc]e)?
-apache-2 ; apache ; apache (?:software )?licen[sc]e (?:version |v )?2(?: 0)?|apache 2(?: 0)? licen[sc]e|licen[sc]ed under (?:the )?apache 2
-apache-1.1 ; apache ; apache (?:software )?licen[sc]e (?:version |v )?1 1
-apache-1.0 ; apache ; apache (?:software )?licen[sc]e (?:version |v )?1 0
-gpl-3 ; general public ; gnu general public licen[sc]e(?: gpl)? (?:version |v )?3(?: 0)?(?: or (?:any )?later)?|gnu gpl (?:version |v)?3
-gpl-2 ; general public ; gnu general public licen[sc]e(?: gpl)? (?:version |v )?2(?: 0)?(?: or (?:any )?later)?|gnu gpl (?:version |v)?2
-gpl-1 ; general public ; gnu general public licen[sc]e(?: gpl)? (?:version |v )?1(?: 0)?
-gpl ; general public ; gnu general public licen[sc]e
-lgpl-3 ; lesser ; gnu lesser general public licen[sc]e(?: lgpl)? (?:version |v )?3(?: 0)?
-lgpl-2.1 ; lesser ; gnu lesser general public licen[sc]e(?: lgpl)? (?:version |v )?2 1
-lgpl-2 ; library general ; gnu library general public licen[sc]e(?: lgpl)? (?:version |v )?2(?: 0)?
-lgpl ; lesser ; gnu lesser general public licen[sc]e
-agpl-3 ; affero ; gnu affero general public licen[sc]e(?: agpl)?(?: (?:version |v )?3(?: 0)?)?
-agpl-1 ; affero ; affero general public licen[sc]e (?:version |v )?1
-gfdl-1.3 ; free documentation ; gnu free documentation licen[sc]e(?: (?:version |v )?1 3)?
-gfdl-1.2 ; free documentation ; gnu free documentation licen[sc]e (?:version |v )?1 2
-gfdl-1.1 ; free documentation ; gnu free documentation licen[sc]e (?:version |v )?1 1
-bsd-2-clause ; bsd ; (?:simplified|freebsd|2 clause) bsd licen[sc]e|bsd 2 clause(?: licen[sc]e)?
-bsd-3-clause ; bsd ; (?:new|revised|modified|3 clause) bsd licen[sc]e|bsd 3 clause(?: licen[sc]e)?
-bsd-4-clause ; bsd ; (?:original|old|4 clause) bsd licen[sc]e|bsd 4 clause(?: licen[sc]e)?
-bsd-0-clause ; bsd ; (?:zero clause|0 clause|free public) bsd licen[sc]e|bsd zero clause(?: licen[sc]e)?
-bsd ; bsd ; (?:under (?:the |a )?)?bsd(?: style)? licen[sc]e
-isc ; isc ; isc licen[sc]e|internet systems consortium licen[sc]e
-mpl-2 ; mozilla ; mozilla public licen[sc]e(?: mpl)? (?:version |v )?2(?: 0)?
-mpl-1.1 ; mozilla ; mozilla public licen[sc]e(?: mpl)? (?:version |v )?1 1
-mpl-1.0 ; mozilla ; mozilla public licen[sc]e(?: mpl)? (?:version |v )?1 0
-mpl ; mozilla ; mozilla public licen[sc]e
-epl-2 ; eclipse ; eclipse public licen[sc]e(?: epl)? (?:version |v )?2(?: 0)?
-epl-1 ; eclipse ; eclipse public licen[sc]e(?: epl)? (?:version |v )?1(?: 0)?
-edl-1 ; eclipse ; eclipse distribution licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-cddl-1.1 ; common development ; common development and distribution licen[sc]e(?: cddl)? (?:version |v )?1 1
-cddl-1.0 ; common development ; common development and distribution licen[sc]e(?: cddl)?(?: (?:version |v )?1(?: 0)?)?
-cpl-1 ; common public ; common public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-cpal-1 ; common public ; common public attribution licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-eupl-1.2 ; european union ; european union public licen[sc]e(?: eupl)? (?:version |v )?1 2
-eupl-1.1 ; european union ; european union public licen[sc]e(?: eupl)? (?:version |v )?1 1
-eupl ; european union ; european union public licen[sc]e
-artistic-2 ; artistic ; artistic licen[sc]e (?:version |v )?2(?: 0)?
-artistic-1 ; artistic ; artistic licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-bsl-1 ; boost ; boost software licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-busl-1.1 ; business source ; business source licen[sc]e(?: (?:version |v )?1 1)?
-sspl-1 ; server side ; server side public licen[sc]e(?: (?:version |v )?1)?
-elastic-2 ; elastic ; elastic licen[sc]e(?: (?:version |v )?2(?: 0)?)?
-zlib ; zlib ; zlib(?: libpng)? licen[sc]e
-libpng ; libpng ; (?:png reference library|libpng) licen[sc]e
-openssl ; openssl ; openssl licen[sc]e
-ssleay ; ssleay ; (?:original )?ssleay licen[sc]e
-psf-2 ; python ; python software foundation licen[sc]e(?: (?:version |v )?2)?|psf licen[sc]e
-ruby ; ruby ; ruby licen[sc]e|ruby s licen[sc]e
-php-3 ; php ; php licen[sc]e(?: (?:version |v )?3(?: 01?)?)?
-perl ; perl ; same terms as perl(?: itself)?
-ofl-1.1 ; open font ; sil open font licen[sc]e(?: (?:version |v )?1 1)?
-ms-pl ; microsoft ; microsoft public licen[sc]e
-ms-rl ; microsoft ; microsoft reciprocal licen[sc]e
-ncsa ; illinois ; university of illinois(?: ncsa)? open source licen[sc]e
-osl-3 ; open software ; open software licen[sc]e(?: (?:version |v )?3(?: 0)?)?
-afl-3 ; academic free ; academic free licen[sc]e(?: (?:version |v )?3(?: 0)?)?
-ecl-2 ; educational community ; educational community licen[sc]e(?: (?:version |v )?2(?: 0)?)?
-upl-1 ; universal permissive ; universal permissive licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-vim ; vim ; vim licen[sc]e
-wtfpl ; wtfpl ; wtfpl|do what the f[a-z]* you want to public licen[sc]e
-unlicense ; unlicense ; (?:the )?unlicense
-postgresql ; postgresql ; postgresql licen[sc]e
-qpl-1 ; q public ; q public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-lppl-1.3 ; latex ; latex project public licen[sc]e(?: (?:version |v )?1 3c?)?
-ipl-1 ; ibm ; ibm public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
-apsl-2 ; apple ; apple public source licen[sc]e(?: (?:version |v )?2(?: 0)?)?
-cecill-2.1 ; cecill ; cecill(?: free software)? licen[sc]e(?: agreement)?(?: (?:version |v )?2 1)?|licence cecill
-cecill-b ; cecill ; cecill b(?: licen[sc]e)?
-cecill-c ; cecill ; cecill c(?: licen[sc]e)?
-mulan-2 ; mulan ; mulan psl (?:version |v)?2|mulan permissive software licen[sc]e
-odbl-1 ; open database ; open (?:data commons open )?database licen[sc]e(?: odbl)?
-odc-by-1 ; open data commons ; open data commons attribution licen[sc]e
-pddl-1 ; open data commons ; open data commons public domain dedication(?: and)? licen[sc]e
-ogl-3 ; open government ; open government licen[sc]e(?: (?:version |v )?3(?: 0)?)?
-cc0 ; cc0 ; cc0(?: 1 0)?(?: universal)?
-cc0 ; creative commons ; creative commons (?:zero|cc0)(?: 1 0)?|creative commons public domain dedication
-cc-by-nc-nd ; by nc ; cc by nc nd(?: [1-4] [05])?
-cc-by-nc-sa ; by nc ; cc by nc sa(?: [1-4] [05])?
-cc-by-nc ; by nc ; cc by nc(?: [1-4] [05])?
-cc-by-nd ; by nd ; cc by nd(?: [1-4] [05])?
-cc-by-sa ; by sa ; cc by sa(?: [1-4] [05])?
-cc-by ; cc by ; cc by(?: [1-4] [05])?
-cc-by-nc-nd ; creative commons ; creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: [1-4] [05])?
-cc-by-nc-sa ; creative commons ; creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?
-cc-by-nc ; creative commons ; creative commons attribution non ?commercial(?: [1-4] [05])?
-cc-by-nd ; creative commons ; creative commons attribution no ?deriv(?:ative)?s?(?: works)?(?: [1-4] [05])?
-cc-by-sa ; creative commons ; creative commons attribution share ?alike(?: [1-4] [05])?
-cc-by ; creative commons ; creative commons attribution(?: [1-4] [05])?
-cc-by-nc-nd ; creativecommons ; creativecommons org licenses by nc nd
-cc-by-nc-sa ; creativecommons ; creativecommons org licenses by nc sa
-cc-by-nc ; creativecommons ; creativecommons org licenses by nc
-cc-by-nd ; creativecommons ; creativecommons org licenses by nd
-cc-by-sa ; creativecommons ; creativecommons org licenses by sa
-cc-by ; creativecommons ; creativecommons org licenses by
-cc0 ; creativecommons ; creativecommons org publicdomain zero
+mit ; (?:the )?mit (?:expat )?licen[sc]e|licen[sc]ed under (?:the )?mit|expat licen[sc]e
+mit-0 ; mit no attribution(?: licen[sc]e)?
+apache-2 ; apache (?:software )?licen[sc]e (?:version |v )?2(?: 0)?|apache 2(?: 0)? licen[sc]e|licen[sc]ed under (?:the )?apache 2
+apache-1.1 ; apache (?:software )?licen[sc]e (?:version |v )?1 1
+apache-1.0 ; apache (?:software )?licen[sc]e (?:version |v )?1 0
+gpl-3 ; gnu general public licen[sc]e(?: gpl)? (?:version |v )?3(?: 0)?(?: or (?:any )?later)?|gnu gpl (?:version |v)?3
+gpl-2 ; gnu general public licen[sc]e(?: gpl)? (?:version |v )?2(?: 0)?(?: or (?:any )?later)?|gnu gpl (?:version |v)?2
+gpl-1 ; gnu general public licen[sc]e(?: gpl)? (?:version |v )?1(?: 0)?
+gpl ; gnu general public licen[sc]e
+lgpl-3 ; gnu lesser general public licen[sc]e(?: lgpl)? (?:version |v )?3(?: 0)?
+lgpl-2.1 ; gnu lesser general public licen[sc]e(?: lgpl)? (?:version |v )?2 1
+lgpl-2 ; gnu library general public licen[sc]e(?: lgpl)? (?:version |v )?2(?: 0)?
+lgpl ; gnu lesser general public licen[sc]e
+agpl-3 ; gnu affero general public licen[sc]e(?: agpl)?(?: (?:version |v )?3(?: 0)?)?
+agpl-1 ; affero general public licen[sc]e (?:version |v )?1
+gfdl-1.3 ; gnu free documentation licen[sc]e(?: (?:version |v )?1 3)?
+gfdl-1.2 ; gnu free documentation licen[sc]e (?:version |v )?1 2
+gfdl-1.1 ; gnu free documentation licen[sc]e (?:version |v )?1 1
+bsd-2-clause ; (?:simplified|freebsd|2 clause) bsd licen[sc]e|bsd 2 clause(?: licen[sc]e)?
+bsd-3-clause ; (?:new|revised|modified|3 clause) bsd licen[sc]e|bsd 3 clause(?: licen[sc]e)?
+bsd-4-clause ; (?:original|old|4 clause) bsd licen[sc]e|bsd 4 clause(?: licen[sc]e)?
+bsd-0-clause ; (?:zero clause|0 clause|free public) bsd licen[sc]e|bsd zero clause(?: licen[sc]e)?
+bsd ; (?:under (?:the |a )?)?bsd(?: style)? licen[sc]e
+isc ; isc licen[sc]e|internet systems consortium licen[sc]e
+mpl-2 ; mozilla public licen[sc]e(?: mpl)? (?:version |v )?2(?: 0)?
+mpl-1.1 ; mozilla public licen[sc]e(?: mpl)? (?:version |v )?1 1
+mpl-1.0 ; mozilla public licen[sc]e(?: mpl)? (?:version |v )?1 0
+mpl ; mozilla public licen[sc]e
+epl-2 ; eclipse public licen[sc]e(?: epl)? (?:version |v )?2(?: 0)?
+epl-1 ; eclipse public licen[sc]e(?: epl)? (?:version |v )?1(?: 0)?
+edl-1 ; eclipse distribution licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+cddl-1.1 ; common development and distribution licen[sc]e(?: cddl)? (?:version |v )?1 1
+cddl-1.0 ; common development and distribution licen[sc]e(?: cddl)?(?: (?:version |v )?1(?: 0)?)?
+cpl-1 ; common public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+cpal-1 ; common public attribution licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+eupl-1.2 ; european union public licen[sc]e(?: eupl)? (?:version |v )?1 2
+eupl-1.1 ; european union public licen[sc]e(?: eupl)? (?:version |v )?1 1
+eupl ; european union public licen[sc]e
+artistic-2 ; artistic licen[sc]e (?:version |v )?2(?: 0)?
+artistic-1 ; artistic licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+bsl-1 ; boost software licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+busl-1.1 ; business source licen[sc]e(?: (?:version |v )?1 1)?
+sspl-1 ; server side public licen[sc]e(?: (?:version |v )?1)?
+elastic-2 ; elastic licen[sc]e(?: (?:version |v )?2(?: 0)?)?
+zlib ; zlib(?: libpng)? licen[sc]e
+libpng ; png reference library licen[sc]e|libpng licen[sc]e
+openssl ; openssl licen[sc]e
+ssleay ; (?:original )?ssleay licen[sc]e
+psf-2 ; python software foundation licen[sc]e(?: (?:version |v )?2)?|psf licen[sc]e
+ruby ; ruby licen[sc]e|ruby s licen[sc]e
+php-3 ; php licen[sc]e(?: (?:version |v )?3(?: 01?)?)?
+perl ; same terms as perl(?: itself)?
+ofl-1.1 ; sil open font licen[sc]e(?: (?:version |v )?1 1)?
+ms-pl ; microsoft public licen[sc]e
+ms-rl ; microsoft reciprocal licen[sc]e
+ncsa ; university of illinois(?: ncsa)? open source licen[sc]e
+osl-3 ; open software licen[sc]e(?: (?:version |v )?3(?: 0)?)?
+afl-3 ; academic free licen[sc]e(?: (?:version |v )?3(?: 0)?)?
+ecl-2 ; educational community licen[sc]e(?: (?:version |v )?2(?: 0)?)?
+upl-1 ; universal permissive licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+vim ; vim licen[sc]e
+wtfpl ; wtfpl|do what the f[a-z]* you want to public licen[sc]e
+unlicense ; (?:the )?unlicense
+postgresql ; postgresql licen[sc]e
+qpl-1 ; q public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+lppl-1.3 ; latex project public licen[sc]e(?: (?:version |v )?1 3c?)?
+ipl-1 ; ibm public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+apsl-2 ; apple public source licen[sc]e(?: (?:version |v )?2(?: 0)?)?
+cecill-2.1 ; cecill(?: free software)? licen[sc]e(?: agreement)?(?: (?:version |v )?2 1)?|licence cecill
+cecill-b ; cecill b(?: licen[sc]e)?
+cecill-c ; cecill c(?: licen[sc]e)?
+mulan-2 ; mulan psl (?:version |v)?2|mulan permissive software licen[sc]e
+odbl-1 ; open (?:data commons open )?database licen[sc]e(?: odbl)?
+odc-by-1 ; open data commons attribution licen[sc]e
+pddl-1 ; open data commons public domain dedication(?: and)? licen[sc]e
+ogl-3 ; open government licen[sc]e(?: (?:version |v )?3(?: 0)?)?
+cc0 ; cc0(?: 1 0)?(?: universal)?
+cc0 ; creative commons (?:zero|cc0)(?: 1 0)?|creative commons public domain dedication
+cc-by-nc-nd ; cc by nc nd(?: [1-4] [05])?
+cc-by-nc-sa ; cc by nc sa(?: [1-4] [05])?
+cc-by-nc ; cc by nc(?: [1-4] [05])?
+cc-by-nd ; cc by nd(?: [1-4] [05])?
+cc-by-sa ; cc by sa(?: [1-4] [05])?
+cc-by ; cc by(?: [1-4] [05])?
+cc-by-nc-nd ; creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: [1-4] [05])?
+cc-by-nc-sa ; creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?
+cc-by-nc ; creative commons attribution non ?commercial(?: [1-4] [05])?
+cc-by-nd ; creative commons attribution no ?deriv(?:ative)?s?(?: works)?(?: [1-4] [05])?
+cc-by-sa ; creative commons attribution share ?alike(?: [1-4] [05])?
+cc-by ; creative commons attribution(?: [1-4] [05])?
+cc-by-nc-nd ; creativecommons org licenses by nc nd
+cc-by-nc-sa ; creativecommons org licenses by nc sa
+cc-by-nc ; creativecommons org licenses by nc
+cc-by-nd ; creativecommons org licenses by nd
+cc-by-sa ; creativecommons org licenses by sa
+cc-by ; creativecommons org licenses by
+cc0 ; creativecommons org publicdomain zero
 """
 
-# label ; keyword ; a sentence of the license's own text
+# label ; a sentence of the license's own text
 NOTICES = r"""
-mit ; permission is hereby ; permission is hereby granted free of charge to any person obtaining a copy of this software
-isc ; permission to use ; permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
-bsd ; redistribution and use ; redistribution and use in source and binary forms with or without modification are permitted
-bsd-3-clause ; endorse or promote ; neither the name of [a-z0-9 ]{1,80} nor the names of its contributors may be used to endorse or promote
-bsd-4-clause ; advertising materials ; all advertising materials mentioning features or use of this software must display
-apache-2 ; you may not use this file ; you may not use this file except in compliance with the licen[sc]e
-apache-2 ; apache ; apache org licenses license 2 0
-gpl ; free software ; this program is free software you can redistribute it and or modify it under the terms of the gnu general public
-lgpl ; free software ; this library is free software you can redistribute it and or modify it under the terms of the gnu lesser
-agpl-3 ; remote network ; remote network interaction use with the gnu general public
-mpl-2 ; mozilla ; this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0
-zlib ; altered source ; altered source versions must be plainly marked as such
-bsl-1 ; boost ; permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation
-unlicense ; public domain ; this is free and unencumbered software released into the public domain
-public-domain ; public domain ; (?:released|dedicated|placed) (?:in|into|to) the public domain
-wtfpl ; do what ; you just do what the f[a-z]* you want to
-cc0 ; copyright and related ; waived all copyright and related or neighboring rights
-ofl-1.1 ; reserved font ; with reserved font name
-proprietary ; all rights reserved ; all rights reserved
-proprietary ; confidential ; (?:proprietary and confidential|confidential and proprietary)
-proprietary ; without written ; without (?:the )?(?:prior )?written (?:permission|consent)
-no-warranty ; as is ; provided as is without (?:any )?warrant(?:y|ies)
-copyright ; copyright ; copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?
+mit ; permission is hereby granted free of charge to any person obtaining a copy of this software
+isc ; permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+bsd ; redistribution and use in source and binary forms with or without modification are permitted
+bsd-3-clause ; neither the name of [a-z0-9 ]{1,80} nor the names of its contributors may be used to endorse or promote
+bsd-4-clause ; all advertising materials mentioning features or use of this software must display
+apache-2 ; you may not use this file except in compliance with the licen[sc]e
+apache-2 ; apache org licenses license 2 0
+gpl ; this program is free software you can redistribute it and or modify it under the terms of the gnu general public
+lgpl ; this library is free software you can redistribute it and or modify it under the terms of the gnu lesser
+agpl-3 ; remote network interaction use with the gnu general public
+mpl-2 ; this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0
+zlib ; altered source versions must be plainly marked as such
+bsl-1 ; permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation
+unlicense ; this is free and unencumbered software released into the public domain
+public-domain ; (?:released|dedicated|placed) (?:in|into|to) the public domain
+wtfpl ; you just do what the f[a-z]* you want to
+cc0 ; waived all copyright and related or neighboring rights
+ofl-1.1 ; with reserved font name
+proprietary ; all rights reserved
+proprietary ; proprietary and confidential|confidential and proprietary
+proprietary ; without (?:the )?(?:prior )?written (?:permission|consent)
+no-warranty ; provided as is without (?:any )?warrant(?:y|ies)
+copyright ; copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?
 """
 
 #: Identifiers as machines write them after a tag; what a label adds to its family's own spelling.
 _SUFFIXES = ("", " only", " or later")
 
 
+def alternatives(pattern: str) -> list[str]:
+    """The pattern cut at each | outside of groups."""
+    out, depth = [""], 0
+    for c in pattern:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+def keyword_of(pattern: str) -> bytes:
+    """A stretch of characters that every match contains, so outside of groups and classes: the longest without "licen"."""
+    rest, n = re.sub(r"\[[^]]*\](?:[?*+]|\{[^}]*\})?", "\0", pattern), 1
+    while n:
+        rest, n = re.subn(r"\([^()]*\)[?*+]?", "\0", rest)
+    found = max(reversed(re.sub(r".[?*]", "\0", rest).split("\0")), key=lambda x: len(x.replace("licen", "")))
+    if len(found) < 3 or re.search(r"[^a-z0-9 ]", found):
+        raise ValueError(f"no keyword in {pattern}")
+    return found.encode()
+
+
 def rules() -> list[Rule]:
-    """All rules, the highest priority first, and in each priority as they are written."""
+    """All rules, one for each alternative, the highest priority first, and in each priority as they are written."""
     out = []
-    lines = lambda block: [tuple(x.strip() for x in row.split(" ; ", 2)) for row in block.strip().split("\n")]
+    lines = lambda block: [(label, p) for row in block.strip().split("\n") for label, _, names in [row.partition(" ; ")] for p in alternatives(names)]
     whole = lambda p: re.compile(rb" (?:" + p.encode() + rb")(?= )")
-    for label in dict.fromkeys(row[0] for row in lines(FAMILIES)):
+    for label in dict.fromkeys(label for label, _ in lines(FAMILIES)):
         words = re.sub(r"[-.]", " ", label)
         for k, suffix in enumerate(_SUFFIXES):
-            out.append(Rule(label, 40 + k, b"spdx", whole(f"spdx licen[sc]e identifier {words}(?: 0)?{suffix}"), 1.0))
-    for label, keyword, pattern in lines(NOTICES):
-        out.append(Rule(label, 30 if label not in ("copyright", "no-warranty", "proprietary") else 5, keyword.encode(), whole(pattern), 0.95 if label not in ("copyright", "no-warranty", "proprietary") else 0.4))
-    for label, keyword, pattern in lines(FAMILIES):
+            out.append(Rule(label, 40 + k, b"spdx licen", whole(f"spdx licen[sc]e identifier {words}(?: 0)?{suffix}"), 1.0))
+    for label, pattern in lines(NOTICES):
+        out.append(Rule(label, 30 if label not in ("copyright", "no-warranty", "proprietary") else 5, keyword_of(pattern), whole(pattern), 0.95 if label not in ("copyright", "no-warranty", "proprietary") else 0.4))
+    for label, pattern in lines(FAMILIES):
         versioned = bool(re.search(r"[0-9]", label)) or label.startswith("cc")
-        out.append(Rule(label, 20 if versioned else 15, keyword.encode(), whole(f"(?:released |licen[sc]ed |distributed )?(?:under )?(?:the )?(?:{pattern})"), 0.9 if versioned else 0.8))
+        out.append(Rule(label, 20 if versioned else 15, keyword_of(pattern), whole(f"(?:released |licen[sc]ed |distributed )?(?:under )?(?:the )?(?:{pattern})"), 0.9 if versioned else 0.8))
     return sorted(out, key=lambda r: -r.priority)
 
 
