@@ -135,6 +135,23 @@ def test_licenses(odd, none, spark):
         assert licenses._GATE.search(r.keyword) or any(x in r.pattern.pattern for x in (b"licen", b"spdx", b"warrant", b"redistrib", b"bsd", b"copyright", b"apache", b"commons", b"proprietary", b"public domain", b"gpl", b"mit no", b"psl", b"cc by", b"written", b"reserved", b"do what", b"permission", b"contributors", b"advertising", b"altered", b"remote network", b"neighboring", b"same terms", b"cc0", b"wtfpl", b"cecill", b"mulan")), r
 
 
+def test_ibans_before_upper_case_words():
+    ibans = lambda t: [t[s.start : s.end] for s in personal_data.find(t) if s.kind == "iban"]
+    known = ["ES9121000418450200051332", "AT611904300234573201", "PL61109010140000071219812874", "BE68539007547034", "HU42117730161111101800000000", "DE89370400440532013000", "NO9386011117947", "MT84MALT011000012345MTLCAST001S"]
+    for iban in known:
+        grouped = " ".join(iban[i : i + 4] for i in range(0, len(iban), 4))
+        for form in (iban, grouped):
+            for after in ("", ",", " EUR", " BIC", " PLN 12", " A", " EURO", " SWIFT CODE", " EUR.", " eur"):
+                assert ibans(f"to {form}{after}") == [form], (form, after)
+            assert ibans(f"{form} BE71 0961 2345 6769 EUR") == [form, "BE71 0961 2345 6769"]
+            assert ibans(f"AB12 CDEF GHIJ {form} EUR") == [form]
+        wrong = iban[:-1] + ("1" if iban[-1] != "1" else "2")
+        assert ibans(f"{wrong} EUR") == []
+    t = "pay AT611904300234573201 EUR 5"
+    assert personal_data.redact(t, personal_data.find(t)) == "pay <IBAN> EUR 5"
+    personal_data.find("AB12 CDEF GHIJ " * 20_000)
+
+
 def phrases(pattern):
     """Texts that a pattern matches: each alternative and optional part is taken at least once, classes by their first character."""
 

@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, context words move the score.
 
 Base kinds are found leftmost and without overlap within a kind: email, ip, card (Luhn) and phone. The method adds IBANs
-(mod-97), which hold without context, and social security numbers, which need a context word nearby, since their digits
+(mod-97 over the country's length), which hold without context, and social security numbers, which need a context word nearby, since their digits
 alone say little. Nothing takes a base span away. Every span carries a score from 0 to 1: a start value for its kind,
 raised by confirmed checksums and by context words of its kind within CONTEXT characters.
 
@@ -40,6 +40,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Characters of an IBAN, and the countries that have so many.
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTH = {country: n for n, some in _LENGTHS.items() for country in some.split()}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _ANY = re.compile(r"[0-9@]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -89,6 +97,24 @@ def _ips(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0")[:3] or 0) <= 255 for p in m[0].split("."))]
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Spans with the right checksum: of the country's length where a word of the match ends there, else the whole match.
+
+    What follows a span, or the first word of a match without one, may begin another.
+    """
+    out, m = [], _IBAN.search(text)
+    while m:
+        n, words, own = IBAN_LENGTH.get(m[0][:2]), m[0].split(" "), None
+        for k in range(1, len(words) + 1):
+            if len("".join(words[:k])) == n:
+                own = m.start() + len(" ".join(words[:k]))
+        end = next((e for e in (own, m.end()) if e and mod97(text[m.start() : e])), None)
+        if end:
+            out.append((m.start(), end))
+        m = _IBAN.search(text, end or m.start() + 1)
+    return out
+
+
 def find(text: str) -> list[Span]:
     """All spans of a text, by kind as listed in KINDS, then by start."""
     if not _ANY.search(text):
@@ -98,7 +124,7 @@ def find(text: str) -> list[Span]:
     found["ip"] = _ips(text)
     found["card"] = [m.span() for m in _CARD.finditer(text) if 16 <= len(d := digits_of(m[0])) <= 19 and luhn(d)]
     found["phone"] = [m.span() for m in _PHONE.finditer(text) if 8 <= len(digits_of(m[0])) <= 15]
-    found["iban"] = [m.span() for m in _IBAN.finditer(text) if mod97(m[0])]
+    found["iban"] = _ibans(text)
     found["ssn"] = [m.span() for m in _SSN.finditer(text)]
     out = []
     for kind in KINDS:
