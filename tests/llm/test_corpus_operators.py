@@ -191,6 +191,17 @@ def test_language_code_lengths():
         assert np.allclose(language.lengths(trees, data, at)[0], [brute_bits(sample, x, t) for x in trees.languages], atol=1e-3)
 
 
+def test_language_code_lengths_however_many_strings(monkeypatch):
+    monkeypatch.setattr(language, "ENTRIES", 40, raising=False)  # a cap on the tables, if there is one
+    r = random.Random(5)
+    sample = [(lang, "".join(r.choice(letters) for _ in range(60))) for lang, letters in (("en", "abcde "), ("fr", "cdefg "), ("el", "αβγδε ")) for _ in range(5)] + [("rare", "qxz jvk")]
+    trees = language.fit(sample)
+    assert all(len(t.keys) == len({(("\n" * k + x.lower()).encode()[i : i + k + 1]) for _, x in sample for i in range(len(x.encode()))}) for k, t in enumerate(trees.known))
+    for t in [x for _, x in sample[::4]] + ["qxz jvk", "abc xyz αβ", "jvk abc"]:
+        data, at, _ = language._joined([t])
+        assert np.allclose(language.lengths(trees, data, at)[0], [brute_bits(sample, x, t) for x in trees.languages], atol=1e-3)
+
+
 @tables
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")

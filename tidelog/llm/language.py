@@ -6,7 +6,8 @@ escape, -log2(d / (n + d)), and what it costs in the context that is one byte sh
 Unseen contexts cost nothing to leave. The language with the shortest exact code length of the whole text wins.
 
 All trees are merged into tables from byte strings to code lengths, one column for each language, with the escapes of
-shorter contexts already added, so a text is scored by table look-ups over arrays, never byte by byte.
+shorter contexts already added, so a text is scored by table look-ups over arrays, never byte by byte. The tables hold
+every string of the sample, which alone bounds them: one left out would cost more than its exact code length.
 
 The trees are fitted on at most SAMPLE labelled texts of each language, those first by hash among texts of at most
 SAMPLE_BYTES; which rows may be learnt from is a parameter. Texts that are null or have no letter are `und` with score
@@ -29,8 +30,6 @@ from ._text import U64, column_of, lower_ascii, raw, slices, texts
 ORDER = 4
 SAMPLE, SAMPLE_BYTES = 300, 16_384
 PARTS = 64
-#: Byte strings that a table of one length keeps, most frequent first.
-ENTRIES = 1 << 18
 UND = "und"
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -97,10 +96,7 @@ def fit(rows: list[tuple[str, str]]) -> Trees:
             outer = shorter[1].bits[np.searchsorted(shorter[1].keys, contexts & U64((1 << 8 * max(0, k - 1)) - 1))]
         bits = np.where(count > 0, own, escape[to] + below)
         shorter = Table(keys, bits), Table(contexts, escape + outer)
-        keep = np.arange(len(keys))
-        if len(keys) > ENTRIES:
-            keep = np.sort(np.lexsort((keys, -count.sum(1)))[:ENTRIES])
-        known.append(Table(keys[keep], bits[keep].astype(np.float32)))
+        known.append(Table(keys, bits.astype(np.float32)))
         leave.append(Table(contexts, shorter[1].bits.astype(np.float32)))
     return Trees(languages, known, leave)
 
