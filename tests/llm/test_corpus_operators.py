@@ -202,6 +202,19 @@ def test_language_code_lengths_however_many_strings(monkeypatch):
         assert np.allclose(language.lengths(trees, data, at)[0], [brute_bits(sample, x, t) for x in trees.languages], atol=1e-3)
 
 
+def test_language_learns_from_copied_and_long_texts(spark):
+    few = [f"tekst nummer {k} {'abcdefgh'[k] * 9}" for k in range(8)]
+    long = ["é" * 9000, "xy ñandú " * 4000]
+    docs = spark.createDataFrame([("no", t) for t in few for _ in range(320)] + [("fr", t) for t in long] + [("en", "short"), ("en", long[1]), (None, "z"), ("en", None), ("en", "")], "lang string, text string")
+    docs = docs.withColumn("doc_id", F.monotonically_increasing_id()).withColumn("at", F.rand(1)).repartition(4, "at")
+    got = language.train(docs, F.lit(True))
+    cut = lambda t: t.encode()[: language.SAMPLE_BYTES].decode(errors="ignore")
+    want = language.fit([("no", t) for t in few] + [("fr", cut(t)) for t in long] + [("en", "short"), ("en", cut(long[1]))])
+    assert got.languages == want.languages == ["en", "fr", "no"]
+    for g, w in zip(got.known + got.leave, want.known + want.leave, strict=True):
+        assert np.array_equal(g.keys, w.keys) and np.array_equal(g.bits, w.bits)
+
+
 @tables
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")

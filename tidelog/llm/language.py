@@ -9,8 +9,9 @@ All trees are merged into tables from byte strings to code lengths, one column f
 shorter contexts already added, so a text is scored by table look-ups over arrays, never byte by byte. The tables hold
 every string of the sample, which alone bounds them: one left out would cost more than its exact code length.
 
-The trees are fitted on at most SAMPLE labelled texts of each language, those first by hash among texts of at most
-SAMPLE_BYTES; which rows may be learnt from is a parameter. Texts that are null or have no letter are `und` with score
+The trees are fitted on at most SAMPLE distinct labelled texts of each language, those first by hash; texts of more than
+SAMPLE_BYTES only fill what shorter ones leave free, with their first SAMPLE_BYTES. Which rows may be learnt from is a
+parameter. Texts that are null or have no letter are `und` with score
 0. score is the winner's share of 2^-(bits), tempered by the length. Without any labelled row everything is `und`.
 Repeated rows give repeated results, an empty table an empty one; A-Z count as a-z.
 """
@@ -151,14 +152,17 @@ def held_out(doc_id: Column, of: int = 4, part: int = 2) -> Column:
 def train(docs: DataFrame, learn: Column | None = None) -> Trees:
     """Trees from docs(doc_id, text, lang), of the rows where learn holds: by default those not held out."""
     learn = ~held_out(docs["doc_id"]) if learn is None else learn
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.octet_length("text").between(1, SAMPLE_BYTES)).select("lang", "text", F.xxhash64("text").alias("h"))
-    # first of each part of a language, then of the language: limits on ranks are applied in each task before a shuffle,
-    # and no task meets more than SAMPLE rows of each of PARTS parts
+    rows = docs.where(learn & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("lang", F.xxhash64("text").alias("h"), (F.octet_length("text") > SAMPLE_BYTES).alias("long"), F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES).alias("head"))
+    # only hashes are ranked, each once however many copies its text has: first of each part of a language, then of the
+    # language. Limits on ranks are applied in each task before a shuffle, and no task meets more than SAMPLE rows of each
+    # of PARTS parts
+    first = rows.select("lang", "h", "long").distinct()
     for keys in (["lang", "part"], ["lang"]):
-        rows = rows.withColumn("part", F.pmod("h", F.lit(PARTS))).withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "text"))).where(F.col("r") <= SAMPLE)
-    rows = rows.select("lang", "text")
-    got = rows.toArrow()  # SAMPLE x SAMPLE_BYTES for each language, at most
-    return fit(sorted(zip(got.column("lang").to_pylist(), got.column("text").to_pylist(), strict=True)))
+        first = first.withColumn("part", F.pmod("h", F.lit(PARTS))).withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("long", "h"))).where(F.col("r") <= SAMPLE)
+    rows = rows.join(F.broadcast(first.select("lang", "h", "long")), ["lang", "h", "long"]).groupBy("lang", "h", "long").agg(F.min("head").alias("head"))
+    got = rows.select("lang", "head").toArrow()  # SAMPLE x SAMPLE_BYTES for each language, at most
+    # a head may end inside a character
+    return fit(sorted(zip(got.column("lang").to_pylist(), [h.decode(errors="ignore") for h in got.column("head").to_pylist()], strict=True)))
 
 
 def predict(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
