@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("encode", encode),
 ]
 
-#: Models and near duplicates are beyond SQL; tests hold each stage against a brute-force version.
+#: Models and near duplicates are beyond SQL; tests hold the whole rows of run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -1,8 +1,15 @@
 """The pipeline's stages on a small corpus, each held against what its input asks for."""
 
+import collections
+import hashlib
+import re
+
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from test_corpus_operators import brute_components, brute_targets
 
-from tidelog.llm import personal_data
+from tidelog.llm import mixing, personal_data
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -43,3 +50,47 @@ def test_empty(spark, docs):
 def test_run(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def brute_run(spark, docs):
+    """The five stages over a list of (doc_id, text, source), a row at a time; only e-mail addresses are personal data here."""
+    from sentencepiece import SentencePieceProcessor
+
+    docs = [d for d in docs if d[1] and any(c.isalpha() for c in d[1])]
+    groups = collections.defaultdict(list)
+    for k, _, c in brute_components([(k, t) for k, (_, t, _) in enumerate(docs)], 5, 80):
+        groups[c].append(docs[k])
+    first = lambda d: (d[0] is None, d[0] or 0, d[1])
+    docs = [min(g, key=first) for g in groups.values()]
+    docs = [(d, re.sub(r"[a-z]+@[a-z.]+[a-z]", "<EMAIL>", t), s) for d, t, s in docs]
+    hashed = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("h", F.xxhash64(F.lit(mixing.SEED), "doc_id", "text").bitwiseAND((1 << 63) - 1)).collect()
+    sizes = collections.Counter()
+    for r in hashed:
+        sizes[r.source] += len(r.text.split())
+    target, items = brute_targets(sizes), []
+    for rank, s in enumerate(sorted(x for x in sizes if x is not None) + [None] * (None in sizes)):
+        upto = 0
+        for r in sorted((r for r in hashed if r.source == s), key=lambda r: (r.h, r.doc_id is not None, r.doc_id or 0)):
+            upto += len(r.text.split())
+            items += [((k * sizes[s] + upto) / target[s], rank, k, r.h, len(r.text.split()), r) for k in range(3) if target[s] > 0]
+    lib, out, used = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")), [], 0
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for *_, size, r in sorted(items, key=lambda x: x[:4]):
+        used += size
+        if used > sum(sizes.values()):
+            break
+        ids = lib.encode(r.text)
+        out.append((r.doc_id, len(ids), sha(",".join(map(str, ids))), sha(lib.decode(ids))))
+    return sorted(out, key=str)
+
+
+def test_run_equals_brute_force(spark, docs, tmp_path):
+    own = lambda k: " ".join(WORDS[(k * 5 + i * 3) % len(WORDS)] + str(k * i % 17 + 90 * k) for i in range(20 + k))
+    more = [(None, own(70), "en", "b", 1), (None, own(70), "en", "b", 1), (71, own(71), "en", None, 1), (72, own(72), None, None, 1), (72, own(72), None, None, 1), (73, own(73), "en", "z", 1), (None, None, None, "z", None), (74, "... 7", "en", "a", 5), (75, own(75) + " joe@x.org and ann@y.com", "en", "z", 1), (76, own(76)[:-1], "en", "z", 1), (77, own(76), "en", "a", 1), (None, own(78), None, "a", None)]
+    whole = docs.union(spark.createDataFrame(more, docs.schema)).union(docs.where("doc_id < 4"))
+    whole.write.parquet(str(tmp_path / "documents.parquet"))
+    want = brute_run(spark, [tuple(r) for r in whole.select("doc_id", "text", "source").collect()])
+    got = sorted((tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=str)
+    times = collections.Counter(d for d, *_ in want)
+    assert max(times.values()) > 1 and None in times and len(times) > 20
+    assert collections.Counter(d for d, *_ in got) == times and got == want
