@@ -49,7 +49,7 @@ def test_empty(spark, docs):
 
 def test_run(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
 
 
 def brute_run(spark, docs):
@@ -90,7 +90,7 @@ def test_run_equals_brute_force(spark, docs, tmp_path):
     whole = docs.union(spark.createDataFrame(more, docs.schema)).union(docs.where("doc_id < 4"))
     whole.write.parquet(str(tmp_path / "documents.parquet"))
     want = brute_run(spark, [tuple(r) for r in whole.select("doc_id", "text", "source").collect()])
-    got = sorted((tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=str)
+    got = sorted((tuple(r)[:4] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=str)
     times = collections.Counter(d for d, *_ in want)
     assert max(times.values()) > 1 and None in times and len(times) > 20
     assert collections.Counter(d for d, *_ in got) == times and got == want

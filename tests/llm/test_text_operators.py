@@ -1,16 +1,18 @@
 """Text operators against brute force, on edges: null, empty and long texts, ties, repeated rows, empty tables."""
 
+import collections
 import hashlib
 import random
 import re
 import re._parser as sre
+import struct
 import zlib
 
 import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from tidelog.llm import licenses, ogg, personal_data, pieces, queries, token_counts
+from tidelog.llm import jaccard, licenses, ogg, personal_data, pieces, queries, token_counts
 
 ODD = [(1, "Hello world. don't 'tis  x", "clash"), (2, None, "clash"), (3, "", None), (None, "no id", "x"), (5, " \n\t ", "x"), (1, "Hello world. don't 'tis  x", "clash"), (7, "é中🙂 <|endoftext|> ﬁ", "x"), (8, "ab " * 50_000, "x"), (9, "z" * 200_000, "x")]
 
@@ -34,7 +36,7 @@ def texts(n, parts, seed=1, most=12):
     return ["".join(r.choice(parts) for _ in range(r.randint(0, most))) for _ in range(n)]
 
 
-def test_token_counts(odd, none):
+def test_token_counts(odd, none, spark):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,11 +45,53 @@ def test_token_counts(odd, none):
     want = sorted(((d, len((t or "").encode()), n := count(t or ""), n > 1024) for d, t, _ in ODD), key=str)
     assert rows(token_counts.count_tokens(odd, path)) == want
     assert rows(token_counts.count_tokens(none, path)) == []
-    own = token_counts.Counter(path, dictionary=200)
-    parts = ["a", "s", "t", "re", "'", "''", " ", "  ", "\n", "1", "!", "é", "²", " ", "　", "中", "<|endoftext|>", "՘", "\r\n", "S", "🙂", "_", "'ll"]
+    parts = ["a", "s", "t", "re", "'", "''", " ", "  ", "\n", "1", "!", "é", "²", " ", "　", "中", "<|endoftext|>", "՘", "\r\n", "S", "🙂", "_", "'ll", "x" * 70]
     some = texts(1500, parts)
-    for i in range(0, len(some), 50):
-        assert own.counts(pa.array(some[i : i + 50], pa.large_string())).tolist() == [count(t) for t in some[i : i + 50]]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(some)], "doc_id long, text string").repartition(3)
+    want = [(k, len(t.encode()), n := count(t), n > 1024) for k, t in enumerate(some)]
+    for common in (token_counts.COMMON, 40, 0):  # the whole table, its most frequent rows and none go to the workers
+        assert sorted(tuple(r) for r in token_counts.count_tokens(docs, path, common=common).collect()) == want
+    own = token_counts.Counter(path)
+    table = {r.pre_token: (r.n, r.pieces) for r in token_counts.table(docs, path).collect()}
+    seen = collections.Counter(x for t in some if (c := own.cut(column([t]))) for x in (c.some[k].decode() for k in c.where.tolist()))
+    assert table == {t: (n, count(t)) for t, n in seen.items() if len(t.encode()) <= token_counts.LONG}
+    assert rows(token_counts.frequencies(docs, path, held=3)) == rows(token_counts.frequencies(docs, path))
+
+
+def complements(n):
+    """Two words of n letters whose polynomials modulo 2^64 are equal, whatever the base."""
+    a = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_that_polynomial_hashes_confuse(spark):
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    some = []
+    for n in (1024, 2048, 4096, 8192):
+        a, b = complements(n)
+        some += [a, b, f"one {a} two", f"one {b} two", f"{a} {b}", " ".join(f"{a}{k}" for k in range(6)), " ".join(f"{b}{k}" for k in range(6))]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").coalesce(1)
+    lib, path = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.path("byte_bpe_50k.json")
+    assert [r.n_tokens for r in token_counts.count_tokens(docs, path).orderBy("doc_id").collect()] == [len(lib.encode(t)) for t in some]
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    lib, sha = SentencePieceProcessor(model_file=path), lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(sha(",".join(map(str, i))), sha(lib.decode(i))) for i in lib.encode(some)]
+    assert [(r.ids_sha256, r.decoded_sha256) for r in pieces.round_trip(docs, path).orderBy("doc_id").collect()] == want
+    joined = jaccard.join(docs, n=4, percent=85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in joined) == [(k, k) for k in range(len(some))]
+
+
+def column(some):
+    return pa.array(some, pa.large_string())
+
+
+def encoded(own, some):
+    """Ids and spans of each text."""
+    ids, begins, ends, first = own.encode(column(some))
+    both = list(zip(begins.tolist(), ends.tolist(), strict=True))
+    return [(ids.to_pylist()[i:j], both[i:j]) for i, j in zip(first.tolist(), first[1:].tolist(), strict=False)]
 
 
 def test_pieces(odd, none):
@@ -57,33 +101,61 @@ def test_pieces(odd, none):
     lib, own = SentencePieceProcessor(model_file=path), pieces.Codec(open(path, "rb").read(), dictionary=300)
     parts = ["a", "the", " ", "  ", "\n", "\t", "▁", "é", "中", "🙂", "<s>", "<0x0A>", "don't", ".", "..", ",", "1", "\x00", "<unk>"]
     some = texts(1500, parts)
-    ids = [x for i in range(0, len(some), 25) for x in own.encode(some[i : i + 25])]
-    assert ids == lib.encode(some)
-    for t, i in zip(some, ids, strict=True):
-        assert own.decode(i) == lib.decode(i)
-        assert b"".join(t.encode()[a:b] for a, b in own.spans(t, i)) == t.encode()
-    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    got = [x for i in range(0, len(some), 25) for x in encoded(own, some[i : i + 25])]
+    assert [ids for ids, _ in got] == lib.encode(some)
+    for t, (ids, spans) in zip(some, got, strict=True):
+        b = t.encode()
+        assert own.decode(ids) == lib.decode(ids)
+        assert b"".join(b[x:y] for x, y in spans) == b  # the spans rebuild the text
+        said = lib.encode(t, return_type="proto").pieces
+        assert [s for s, i in zip(spans, ids, strict=True) if own.kinds[i] != pieces.BYTE] == [(p.begin, p.end) for p in said if own.kinds[p.id] != pieces.BYTE]
+    sha = lambda s: hashlib.sha256(s).hexdigest()
     want = []
     for d, t, _ in ODD:
         i = lib.encode(t or "")
-        want.append((d, len(i), sha(",".join(map(str, i))), sha(lib.decode(i))))
+        spans = encoded(own, [t or ""])[0][1]
+        want.append((d, len(i), sha(",".join(map(str, i)).encode()), sha(lib.decode(i).encode()), sha(struct.pack(f"<{2 * len(spans)}q", *(x for s in spans for x in s)))))
     assert rows(pieces.round_trip(odd, path)) == sorted(want, key=str)
     assert rows(pieces.round_trip(none, path)) == rows(pieces.encode(none, path)) == []
     first = pieces.encode(odd.where("doc_id = 7"), path).first()
-    assert first.ids == lib.encode(ODD[6][1]) and first.ends[-1] == len(ODD[6][1].encode())
+    assert first.ids == lib.encode(ODD[6][1]) and first.ends[-1] == len(ODD[6][1].encode()) and first.begins[0] == 0
+
+
+def brute_normal(own, text):
+    """Character by character: the normalised text, and the source of each of its bytes."""
+    b, out, i = text.encode(), [], 0
+    while i < len(b):
+        hit = own.map.longest(b, i, len(b)) if own.map.units else None
+        n, to = hit or ((k := 1 if b[i] < 0x80 else 2 if b[i] < 0xE0 else 3 if b[i] < 0xF0 else 4), b[i : i + k])
+        whole = hit is not None
+        out += [(c, i if whole or c == " " else None, i + n) for c in to.decode()]
+        i += n
+    if own.squeeze:
+        out = [x for k, x in enumerate(out) if x[0] != " " or k and out[k - 1][0] != " "]
+        while out and out[-1][0] in " ▁":
+            out.pop()
+    spans = [(s, e) if s is not None else (e - len(c.encode()) + k, e - len(c.encode()) + k + 1) for c, s, e in out for k in range(len(pieces.MARK if c == " " else c.encode()))]
+    normal = "".join(c for c, *_ in out).replace(" ", "▁")
+    return ("▁" + normal, [(spans[0][0],) * 2] * 3 + spans) if own.prefix and normal else (normal, spans)
 
 
 def test_character_map_equals_the_library():
     from sentencepiece import SentencePieceNormalizer
 
-    lib = SentencePieceNormalizer(rule_name="nmt_nfkc", add_dummy_prefix=True, remove_extra_whitespaces=True, escape_whitespaces=True)
-    spec = {k: v for f, v, _ in pieces.fields(lib.serialized_model_proto()) if f == 3 for k, v, _ in pieces.fields(v)}
-    own = pieces.Codec.__new__(pieces.Codec)
-    own.map, own.prefix, own.squeeze = pieces.CharacterMap(spec[2]), True, True
-    for t in texts(800, ["a", " ", "  ", "①", "ﬁ", "ｱﾞ", "Ⅷ", "℃", "​", "　", "Å", "é", "\n", "中"]):
-        got, begin, end = own.normalise(t)
-        assert got == lib.normalize(t) and len(got) == len(begin) == len(end)
-        assert all(0 <= a <= b <= len(t.encode()) for a, b in zip(begin, end, strict=True))
+    for rule, prefix, squeeze in (("nmt_nfkc", True, True), ("nfkc", False, False), ("nmt_nfkc_cf", True, False), ("identity", True, True)):
+        lib = SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=prefix, remove_extra_whitespaces=squeeze, escape_whitespaces=True)
+        spec = {k: v for f, v, _ in pieces.fields(lib.serialized_model_proto()) if f == 3 for k, v, _ in pieces.fields(v)}
+        own = pieces.Codec.__new__(pieces.Codec)
+        own.map, own.prefix, own.squeeze = pieces.CharacterMap(spec.get(2, b"")), prefix, squeeze
+        own.key_starts = own.map.starts()
+        some = texts(800, ["a", "A", " ", "  ", "①", "ﬁ", "ｱﾞ", "Ⅷ", "℃", "​", "　", "Å", "é", "\n", "中", "▁"])
+        for i in range(0, len(some), 40):
+            got = own.normalise(column(some[i : i + 40]))
+            for k, t in enumerate(some[i : i + 40]):
+                x, y = int(got.at[k]), int(got.at[k + 1])
+                normal, spans = brute_normal(own, t)
+                assert got.data[x:y].tobytes().decode() == normal == lib.normalize(t), (rule, t)
+                assert [(a - got.source_at[k], b - got.source_at[k]) for a, b in zip(got.begin[x:y].tolist(), got.end[x:y].tolist(), strict=True)] == spans, (rule, t)
 
 
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")

@@ -6,6 +6,7 @@ never the partition. A null text counts as an empty text.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,7 +83,8 @@ BYTE_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(0xD1B54A32D192ED03))
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of values[start:end] for many spans at once: differences of one running polynomial.
 
-    values: uint64, one well-mixed number for each symbol. Equal spans have equal hashes wherever they stand.
+    values: uint64, one well-mixed number for each symbol. Equal spans have equal hashes wherever they stand. Long spans can
+    be made to collide, so these only deal spans to buckets; where equality counts, use distinct() or named().
     """
     n = len(values)
     power, inverse = _power(n + 1)
@@ -129,29 +131,36 @@ def spans(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(at, starts, "right") - 1
 
 
-class HashTable:
-    """Rows by 64-bit hash, for bounded per-worker dictionaries; emptied when `most` rows are reached."""
+def distinct(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct strings among data[offsets[i]:offsets[i + 1]], compared byte by byte, and the place of each in them."""
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = column.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
 
-    def __init__(self, most: int):
-        self.most, self.keys, self.rows, self.n = most, np.zeros(0, U64), np.zeros(0, np.int64), 0
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Row of each key, or -1."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
-        i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[i] == keys, self.rows[i], -1)
+def named(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit names of the bytes data[start:end] for many spans at once.
 
-    def full(self, more: int) -> bool:
-        return self.n + more > self.most
-
-    def clear(self) -> None:
-        self.keys, self.rows, self.n = np.zeros(0, U64), np.zeros(0, np.int64), 0
-
-    def add(self, keys: np.ndarray) -> np.ndarray:
-        """Adds distinct keys that find() didn't have; returns their rows."""
-        new = np.arange(self.n, self.n + len(keys))
-        keys, rows = np.concatenate([self.keys, keys]), np.concatenate([self.rows, new])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.rows, self.n = keys[order], rows[order], self.n + len(new)
-        return new
+    Up to 16 bytes are taken as two numbers and mixed with the length, so up to 8 bytes equal names mean equal bytes of
+    that length; longer spans are digested by BLAKE2b. No structure of the bytes makes two names meet.
+    """
+    size = ends - starts
+    padded = np.zeros(len(data) + 24, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 16, "<u8", padded.data, strides=(1,))  # the 8 bytes from each byte on
+    mask = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+    out = mix(eight[starts] & mask[np.minimum(size, 8)]) + size.astype(U64) * U64(0x2545F4914F6CDD1D)
+    more = np.flatnonzero(size > 8)
+    out[more] = mix(out[more]) * U64(0x9FB21C651E98DF25) + mix(eight[starts[more] + 8] & mask[np.minimum(size[more] - 8, 8)])
+    out = mix(out)
+    for k in np.flatnonzero(size > 16).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return out
+
+
+def chained(parts: list[np.ndarray]) -> np.ndarray:
+    """One 64-bit name for each row of equally long columns of names; order counts, and every step is mixed."""
+    out = np.zeros(len(parts[0]), U64)
+    for p in parts:
+        out = mix(out * U64(0x9FB21C651E98DF25) + p)
+    return out

@@ -1,13 +1,20 @@
 """Token counts of a byte-level BPE without token ids.
 
-Merges never cross pre-token borders, so the pieces of a pre-token are a fact about the pre-token alone. The operator
-cuts whole texts into pre-tokens with array operations, counts the pieces of each distinct pre-token once, joins those
-counts to the pre-token frequencies of each document, and sums. Ids are never kept. The dictionary of distinct pre-tokens
-lives in the worker, is bounded, and needs no shuffle: each task meets most pre-tokens once, and a full dictionary is
-emptied, which costs time and never changes a count.
-
-Null and empty texts have 0 bytes and 0 tokens. Rows are independent: repeated rows give repeated results, an empty
-table gives an empty result, other columns of the input are ignored.
+Merges never cross pre-token borders, so the number of pieces of a pre-token is a fact about the pre-token alone:
+
+1. One pass cuts whole texts into pre-tokens with array operations and sums their frequencies over all documents.
+2. The table of distinct pre-tokens is counted, each one once in the whole corpus, by the library.
+3. A second pass has the frequencies of each document's pre-tokens, joins them to the table, and sums. The COMMON most
+   frequent rows of the table go to every worker, which is a bounded broadcast and the bulk of all text; what a document
+   holds beyond them is joined to the table by a shuffle of those pre-tokens alone.
+
+Pre-tokens are compared as bytes, never as hashes. Ids are never kept. Pre-tokens of more than LONG bytes, hardly ever met
+twice, are counted where they stand instead of being moved, and texts with special strings, or with characters whose class
+differs between Unicode versions, are counted as whole texts by the library.
+
+Null and empty texts have 0 bytes and 0 tokens. Rows are independent: repeated rows give repeated results, an empty table
+gives an empty result, other columns of the input, whatever their names, are ignored. Ties can't arise. Very long texts
+are counted whole; memory follows the longest one.
 """
 
 from __future__ import annotations
@@ -15,15 +22,23 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._text import U64, HashTable, column_of, mix, raw, slices, span_hashes, texts
+from ._graph import written
+from ._text import column_of, distinct, raw, slices, texts
 
-#: Distinct pre-tokens a worker keeps.
-DICTIONARY = 600_000
+#: Bytes up to which a pre-token goes through the table.
+LONG = 64
+#: Rows of the table that every worker gets, at most.
+COMMON = 1 << 18
+#: Distinct pre-tokens that a task holds before it hands on their frequencies.
+HELD = 400_000
 OTHER, LETTER, NUMBER, SPACE, UNSURE = range(5)
 #: The letters after an apostrophe that the pre-token pattern takes as one piece.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -76,88 +91,49 @@ def pre_token_starts(cp: np.ndarray, at: np.ndarray) -> np.ndarray:
     return start
 
 
+class Cut(NamedTuple):
+    """Pre-tokens of many texts: the distinct ones, which one stands where, and where each text's begin."""
+
+    some: list[bytes]
+    where: np.ndarray
+    bounds: np.ndarray
+    whole: dict[int, int]  # tokens of the texts that aren't cut
+
+
 class Counter:
-    """Counts tokens of texts; one for each worker and vocabulary file."""
+    """Cuts texts and counts tokens; one for each worker and vocabulary file."""
 
-    def __init__(self, path: str, dictionary: int = DICTIONARY):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.special = {t.content for t in self.lib.get_added_tokens_decoder().values()}
-        self.table, self.pieces = HashTable(dictionary), np.zeros(dictionary, np.int64)
-
-        self.merge = self._merger()
-
-    def _merger(self):
-        """A faster merger of single pre-tokens over the same vocabulary; None unless ids follow the order of merges."""
-        import json
-
-        import tiktoken
-
-        model = json.loads(self.lib.to_str())["model"]
-        vocab = {k: v for k, v in model["vocab"].items() if k not in self.special}
-        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
-        if len(vocab) != 256 + len(merges) or any(vocab.get(m) != 256 + i for i, m in enumerate(merges)):
-            return None
-        # bytes that are no printable character are written as characters from 256 on
-        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
-        ranks = {bytes(byte_of[c] for c in k): v for k, v in vocab.items()}
-        return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-
-    def _encoded(self, some: list[str]) -> list[int]:
-        """Tokens of whole texts, by the library."""
-        return [len(e) for e in self.lib.encode_batch_fast(some, add_special_tokens=False)]
+        self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
 
-    def _merged(self, some: list[str]) -> list[int]:
-        """Pieces of single pre-tokens."""
-        return [len(self.merge(s.encode())) for s in some] if self.merge else self._encoded(some)
+    def counted(self, some: list[str]) -> list[int]:
+        """Tokens of each of some texts or pre-tokens."""
+        return [len(e) for e in self.lib.encode_batch_fast(some, add_special_tokens=False)]
 
-    def counts(self, column: pa.Array) -> np.ndarray:
-        """Tokens of each text of a large_string column."""
-        _, at = raw(column)
-        out = np.zeros(len(column), np.int64)
-        plain = np.flatnonzero(np.diff(at) > 0)
+    def cut(self, column: pa.Array) -> Cut:
+        """The pre-tokens of each text of a large_string column."""
         strings = column.to_pylist()
-        odd = [i for i in plain.tolist() if any(s in strings[i] for s in self.special)]
-        # texts with special strings, or characters whose class may depend on the Unicode version, go to the library
-        whole = "".join(strings[i] for i in plain.tolist())
-        if not whole:
-            return out
-        cp = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
-        ends = np.cumsum([len(strings[i]) for i in plain.tolist()])
+        odd = {i for i, t in enumerate(strings) if any(x in t for x in self.special)}
+        cp, at = self._points(["" if i in odd else t for i, t in enumerate(strings)])
         unsure = np.flatnonzero(classes()[cp] == UNSURE)
-        if len(unsure) or odd:
-            slow = set(plain[np.unique(np.searchsorted(ends, unsure, "right"))].tolist()) | set(odd)
-            out[sorted(slow)] = self._encoded([strings[i] for i in sorted(slow)])
-            plain = np.array([i for i in plain.tolist() if i not in slow], np.int64)
-            if not len(plain):
-                return out
-            whole = "".join(strings[i] for i in plain.tolist())
-            cp = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
-            ends = np.cumsum([len(strings[i]) for i in plain.tolist()])
-        at = np.concatenate([[0], ends])
-        starts = np.flatnonzero(pre_token_starts(cp, at))
-        stops = np.append(starts[1:], len(cp))
-        keys = span_hashes(mix(cp.astype(U64) * U64(0xD1B54A32D192ED03)), starts, stops)
-        distinct, first, where = np.unique(keys, return_index=True, return_inverse=True)
-        rows = self.table.find(distinct)
-        new = np.flatnonzero(rows < 0)
-        if self.table.full(len(new)):
-            self.table.clear()
-            rows[:], new = -1, np.arange(len(distinct))
-        found = np.zeros(len(distinct), np.int64)
-        if len(new):
-            some = [whole[a:b] for a, b in zip(starts[first[new]].tolist(), stops[first[new]].tolist(), strict=True)]
-            found[new] = self._merged(some)
-            if not self.table.full(len(new)):
-                rows[new] = self.table.add(distinct[new])
-                self.pieces[rows[new]] = found[new]
-        known = rows >= 0
-        found[known] = self.pieces[rows[known]]
-        # the join of pre-token counts to the frequencies of each document, summed
-        out[plain] = np.add.reduceat(found[where], np.searchsorted(starts, at[:-1]))
-        return out
+        if len(unsure):
+            odd |= set((np.searchsorted(at, unsure, "right") - 1).tolist())
+            cp, at = self._points(["" if i in odd else t for i, t in enumerate(strings)])
+        whole = dict(zip(sorted(odd), self.counted([strings[i] for i in sorted(odd)]), strict=True))
+        if not len(cp):
+            return Cut([], np.zeros(0, np.int64), np.zeros(len(column) + 1, np.int64), whole)
+        starts = np.flatnonzero(pre_token_starts(cp, np.unique(at)))
+        size = np.concatenate([[0], np.cumsum(1 + (cp >= 0x80) + (cp >= 0x800) + (cp >= 0x10000))])
+        some, where = distinct(np.frombuffer("".join(t for i, t in enumerate(strings) if i not in odd).encode(), np.uint8), size[np.append(starts, len(cp))])
+        return Cut(some, where, np.searchsorted(starts, at), whole)
+
+    @staticmethod
+    def _points(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Code points of texts put together, and their offsets."""
+        return np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum([len(t) for t in strings], dtype=np.int64)])
 
 
 @lru_cache(2)
@@ -168,19 +144,87 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
-def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024) -> DataFrame:
+def frequencies(docs: DataFrame, vocabulary: str, held: int = HELD) -> DataFrame:
+    """pre_token and n, its number in all texts of docs(text), of the distinct pre-tokens up to LONG bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, total = counter(vocabulary), {}
+        made = lambda: pa.RecordBatch.from_arrays([pa.array([t.decode() for t in total], pa.string()), pa.array(total.values(), pa.int64())], ["pre_token", "n"])
+        for b in slices(batches):
+            cut = own.cut(texts(column_of(b, "text")))
+            for t, n in zip(cut.some, np.bincount(cut.where, minlength=len(cut.some)).tolist(), strict=True):
+                if len(t) <= LONG:
+                    total[t] = total.get(t, 0) + n
+            if len(total) > held:
+                yield made()
+                total.clear()
+        yield made()
+
+    return docs.select("text").mapInArrow(run, "pre_token string, n long").groupBy("pre_token").agg(F.sum("n").alias("n"))
+
+
+def table(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """pre_token, n and pieces of every distinct pre-token up to LONG bytes, each counted once; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = counter(vocabulary)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.counted(column_of(b, "pre_token").to_pylist()), pa.int64())], ["pre_token", "n", "pieces"])
+
+    return written(frequencies(docs, vocabulary).mapInArrow(run, "pre_token string, n long, pieces long"))
+
+
+def _common(counted: DataFrame, most: int) -> tuple[dict[bytes, int], bool]:
+    """Pieces of the most frequent pre-tokens, as many as whole steps of frequency allow; whether these are all."""
+    step = F.floor(F.log2("n") * 8)
+    steps = sorted(((r["step"], r["rows"]) for r in counted.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()), reverse=True)  # 8 x 63 rows at most
+    rows = np.cumsum([r for _, r in steps])
+    fit = int(np.searchsorted(rows, most, "right"))
+    if not fit:
+        return {}, not steps
+    got = counted.where(step >= steps[fit - 1][0]).select("pre_token", "pieces").toArrow()  # `most` rows of LONG bytes at most
+    return dict(zip((t.encode() for t in got.column("pre_token").to_pylist()), got.column("pieces").to_pylist(), strict=True)), fit == len(steps)
+
+
+def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, common: int = COMMON) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every text of docs(doc_id, text).
 
     vocabulary: a file of the tokenizers library, at the same place on every machine.
     """
+    docs = docs.select("doc_id", "text")
+    counted = table(docs, vocabulary)
+    known, every = _common(counted, common)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    pair = pa.list_(pa.struct([("pre_token", pa.string()), ("times", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = counter(vocabulary)
+        own, pieces, row = counter(vocabulary), shared.value, TaskContext.get().partitionId() << 40
         for b in slices(batches):
             column = texts(column_of(b, "text"))
-            n = own.counts(column)
-            _, at = raw(column)
-            yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), pa.array(np.diff(at)), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            cut = own.cut(column)
+            n = np.array([pieces.get(t, -1) for t in cut.some], np.int64)
+            long = [k for k in np.flatnonzero(n < 0).tolist() if len(cut.some[k]) > LONG]
+            n[long] = own.counted([cut.some[k].decode() for k in long])
+            # the join of the table to the frequencies of each document, summed
+            upto = np.concatenate([[0], np.cumsum(np.maximum(n, 0)[cut.where])])
+            total = np.diff(upto[cut.bounds])
+            for i, tokens in cut.whole.items():
+                total[i] = tokens
+            rare = [[] for _ in range(b.num_rows)]
+            left = np.flatnonzero(n[cut.where] < 0)
+            if len(left):
+                doc = np.searchsorted(cut.bounds, left, "right") - 1
+                both, times = np.unique(np.stack([doc, cut.where[left]], 1), axis=0, return_counts=True)
+                for (i, k), t in zip(both.tolist(), times.tolist(), strict=True):
+                    rare[i].append({"pre_token": cut.some[k].decode(), "times": t})
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + b.num_rows)), column_of(b, "doc_id"), pa.array(np.diff(raw(column)[1])), pa.array(total, pa.int64()), pa.array(rare, pair)], ["row", "doc_id", "n_bytes", "n_tokens", "rare"])
+            row += b.num_rows
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    out = docs.mapInArrow(run, f"row long, doc_id {kind}, n_bytes long, n_tokens long, rare array<struct<pre_token:string,times:bigint>>")
+    if not every:
+        out = written(out)  # numbers of rows hold once they are written
+        rare = out.select("row", F.explode("rare").alias("r")).select("row", "r.*")
+        more = rare.join(counted, "pre_token").groupBy("row").agg(F.sum(F.col("times") * F.col("pieces")).alias("more"))
+        out = out.join(more, "row", "left").withColumn("n_tokens", F.col("n_tokens") + F.coalesce("more", F.lit(0)))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
