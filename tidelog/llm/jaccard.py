@@ -2,7 +2,8 @@
 
 Two documents link when percent * |union| <= 100 * |intersection| of their sets of word n-grams. The steps:
 
-1. One pass hashes each text's distinct n-grams and gives every distinct set a class; equal sets are one row from here.
+1. One pass names each text's distinct n-grams and gives every distinct set a class, by a digest of 128 bits; equal sets
+   are one row, with a number of its own, from here.
 2. N-grams that many documents share are found (counts over all documents, summed by n-gram). They only set the order
    in which n-grams are tried, rare ones first, so any subset of them keeps the join exact.
 3. Of each class, only so many first n-grams in that order are posted that no link can be missed (the rest alone can't
@@ -28,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ._graph import components, written
-from ._text import BYTE_VALUES, U64, column_of, lower_ascii, mix, raw, slices, span_hashes, spans, table_of, texts
+from ._text import U64, chained, column_of, lower_ascii, named, raw, slices, spans, table_of, texts
 
 #: Bytes between words.
 GAP = table_of((9, 13), (32, 32))
@@ -48,33 +49,31 @@ FILTER_BITS = 1 << 25
 
 
 def ngram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
-    """The sorted distinct n-gram hashes of each text of a large_string column."""
+    """The sorted names of the distinct n-grams of each text of a large_string column."""
     data, at = raw(column)
     low = lower_ascii(data)
     starts, ends, doc = spans(~GAP[low], at)
-    words = span_hashes(BYTE_VALUES[low], starts, ends)
+    words = named(low, starts, ends)
     first = np.searchsorted(doc, np.arange(len(column) + 1))
-    m = U64(0x9FB21C651E98DF25)
-    grams = np.zeros(max(0, len(words) - n + 1), U64)
-    for k in range(n):
-        grams = grams * m + words[k : k + len(grams)]
-    grams = mix(grams)
+    grams = chained([words[k : max(k, len(words) - n + 1 + k)] for k in range(n)])
     for i in range(len(column)):
         a, b = int(first[i]), int(first[i + 1])
         if b - a >= n:
             yield np.unique(grams[a : b - n + 1])
         elif b > a:
-            h = np.array([b - a], U64)
-            for k in range(a, b):
-                h = h * m + words[k : k + 1]
-            yield mix(h * U64(0xA24BAED4963EE407))
+            yield chained([np.array([b - a], U64), *(words[k : k + 1] for k in range(a, b))])
         else:
             yield np.zeros(0, U64)
 
 
-def class_of(grams: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+def class_of(grams: np.ndarray) -> tuple[int, int]:
+    """A name of a set in two signed 64-bit halves."""
+    b = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+    return int.from_bytes(b[:8], "little", signed=True), int.from_bytes(b[8:], "little", signed=True)
+
+
+def _halves(names: list[tuple[int, int] | None]) -> list[pa.Array]:
+    return [pa.array([x and x[k] for x in names], pa.int64()) for k in (0, 1)]
 
 
 def needed(size: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -93,15 +92,15 @@ def _first_pass(n: int):
             grams, count = grams[count >= REPORTED_FROM], count[count >= REPORTED_FROM]
             kept, held = [], 0
             none = pa.nulls(len(grams))
-            return pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(grams.view(np.int64)), pa.array(count)], names)
+            return pa.RecordBatch.from_arrays([none.cast(kind), *[none.cast(pa.int64())] * 3, pa.array(grams.view(np.int64)), pa.array(count)], names)
 
-        names, kind = ["doc_id", "size", "v", "gram", "count"], pa.int64()
+        names, kind = ["doc_id", "size", "v", "u", "gram", "count"], pa.int64()
         for b in slices(batches):
             kind = column_of(b, "doc_id").type
             sets = list(ngram_sets(texts(column_of(b, "text")), n))
             none = pa.nulls(b.num_rows, pa.int64())
             v = [class_of(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(v, pa.int64()), none, none], names)
+            yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), *_halves(v), none, none], names)
             kept += sets
             held += sum(map(len, sets))
             if held >= COUNTED:
@@ -113,11 +112,11 @@ def _first_pass(n: int):
 
 
 def _second_pass(n: int, percent: int, shared):
-    """v, size and the posted n-grams of each text."""
+    """Name, size and the posted n-grams of each text's set, once where a task meets it again soon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value  # sorted n-grams, and their place from the rarest on
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for b in slices(batches):
             vs, sizes, posted = [], [], []
             for s in ngram_sets(texts(column_of(b, "text")), n):
@@ -134,7 +133,7 @@ def _second_pass(n: int, percent: int, shared):
                 posted.append(s[: len(s) - needed(len(s), percent) + 1].view(np.int64))
             at = np.concatenate([[0], np.cumsum([len(p) for p in posted])]).astype(np.int32)
             flat = pa.array(np.concatenate(posted) if posted else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(vs, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), flat)], ["v", "size", "grams"])
+            yield pa.RecordBatch.from_arrays([*_halves(vs), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), flat)], ["v", "u", "size", "grams"])
 
     return run
 
@@ -179,7 +178,7 @@ def _columns(percent: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            g, v, s = (column_of(b, k).to_numpy() for k in ("gram", "v", "size"))
+            g, v, s = (column_of(b, k).to_numpy() for k in ("gram", "c", "size"))
             cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
             # columns of one entry matter only where they may go on in a neighbouring batch
             for k in np.unique(np.concatenate([[0], np.flatnonzero(np.diff(cut) > 1), [len(cut) - 2]])).tolist():
@@ -215,8 +214,22 @@ def _columns(percent: int):
     return run
 
 
+def _bits(names: DataFrame):
+    """A filter of FILTER_BITS bits over a column of longs, for _holds(); its size is fixed."""
+    bit = names.toDF("bit").select(F.col("bit").bitwiseAND(FILTER_BITS - 1).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS >> 5, np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return names.sparkSession.sparkContext.broadcast(out)
+
+
+def _holds(bits: np.ndarray, name: int) -> bool:
+    k = name & (FILTER_BITS - 1)
+    return bool(bits[k >> 5] >> np.uint32(k & 31) & np.uint32(1))
+
+
 def _wanted(n: int, wanted):
-    """v and text of the rows that may stand for a class with candidates."""
+    """Name and text of the rows that may stand for a class with candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
@@ -227,11 +240,10 @@ def _wanted(n: int, wanted):
                 if not len(s):
                     continue
                 v = class_of(s)
-                k = (v ^ d) & (FILTER_BITS - 1)
-                if bits[k >> 5] >> np.uint32(k & 31) & np.uint32(1):
+                if _holds(bits, v[0] ^ d):
                     keep.append(i)
                     vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(vs, pa.int64()), column.take(pa.array(keep, pa.int64())).cast(pa.string())], ["v", "text"])
+            yield pa.RecordBatch.from_arrays([*_halves(vs), column.take(pa.array(keep, pa.int64()))], ["v", "u", "text"])
 
     return run
 
@@ -281,7 +293,7 @@ def block_links(first: list[np.ndarray], second: list[np.ndarray] | None, percen
 def _blocks(n: int, percent: int):
     def run(group: pa.Table) -> pa.Table:
         # rows of one doc_id and one set are alike
-        v, once = np.unique(group.column("v").to_numpy(), return_index=True)
+        v, once = np.unique(group.column("c").to_numpy(), return_index=True)
         group = group.take(pa.array(once))
         # a row is in the first block of its pair, in the second, or in both if they are one
         own, one = group.column("own").to_pylist(), group.column("x")[0].as_py() == group.column("y")[0].as_py()
@@ -312,13 +324,15 @@ def _blocks(n: int, percent: int):
     return run
 
 
-def _tagged(n: int, name: str):
-    """The rows as they are, and their class."""
+def _tagged(n: int, names: list[str], shared):
+    """The rows as they are, their class's name, and whether the filter of shared classes holds it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for b in slices(batches):
             v = [class_of(s) if len(s) else None for s in ngram_sets(texts(column_of(b, "text")), n)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(v, pa.int64())], [*b.schema.names, name])
+            among = pa.array([x is not None and _holds(bits, x[0]) for x in v], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*b.columns, *_halves(v), among], [*b.schema.names, *names])
 
     return run
 
@@ -326,39 +340,51 @@ def _tagged(n: int, name: str):
 def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """One row of docs for each component: the one with the smallest doc_id (nulls last), then the smallest text.
 
-    Documents without words are linked with nothing, so all of them stay. Columns stay as they are.
+    Documents without words are linked with nothing, so all of them stay. Columns stay as they are, and may have any
+    names; rows that are alike in doc_id and text are one. Only rows of classes that a second row shares are shuffled.
     """
-    _, named = _classes(docs.select("doc_id", "text"), n, percent)
-    least = F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("v"))
-    stands = named.groupBy("label").agg(F.min(least).alias("x")).select(F.col("x.v").alias("v"))
-    name = "v"
-    while name in docs.columns:
-        name += "_"
-    tagged = docs.mapInArrow(_tagged(n, name), StructType([*docs.schema.fields, StructField(name, LongType())]))
-    rows = tagged.select(F.struct(*[tagged[c] for c in docs.columns]).alias("row"), tagged[name].alias("v"))
-    # copies meet in their own tasks first, so a large group of them is never shuffled whole
-    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
-    one = rows.where("v IS NOT NULL").groupBy("v").agg(F.min_by("row", order).alias("row"))
-    return one.join(stands, "v", "left_semi").select("row.*").unionByName(rows.where("v IS NULL").select("row.*"))
+    _, classes = _classes(docs.select("doc_id", "text"), n, percent)
+    total = classes.groupBy("label").agg(F.sum("n").alias("rows")).where("rows > 1")
+    shared = written(classes.join(total, "label", "left_semi"))
+    least = F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("v"), F.col("u"))
+    stands = shared.groupBy("label").agg(F.min(least).alias("x")).select("x.least", "x.v", "x.u")
+    names = []
+    for name in ("v", "u", "among"):
+        while name in docs.columns:
+            name += "_"
+        names.append(name)
+    kinds = (LongType(), LongType(), BooleanType())
+    tag = _tagged(n, names, _bits(shared.select("v")))
+    tagged = written(docs.mapInArrow(tag, StructType([*docs.schema.fields, *map(StructField, names, kinds)])))
+    v, u, among = (tagged[c] for c in names)
+    alone = tagged.where(~among).select(*docs.columns)
+    rows = tagged.where(among).select(F.struct(*[tagged[c] for c in docs.columns]).alias("row"), v.alias("v"), u.alias("u"))
+    # a row that the filter holds by chance may be of a class of its own: it stays as it is
+    rows = rows.join(shared.select("v", "u", F.lit(True).alias("known")), ["v", "u"], "left")
+    chance = rows.where("known IS NULL").select("row.*")
+    order = F.struct(F.col("row.text").alias("text"))
+    own = rows.where("known").join(stands.withColumnsRenamed({"v": "sv", "u": "su"}), (F.col("v") == F.col("sv")) & (F.col("u") == F.col("su")) & F.col("row.doc_id").eqNullSafe(F.col("least")))
+    one = own.groupBy("v", "u").agg(F.min_by("row", order).alias("row"))
+    return alone.unionByName(chance).unionByName(one.select("row.*"))
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles (size of its set) and component_id of every row of docs(doc_id, text)."""
-    rows, named = _classes(docs, n, percent)
-    whole = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_class = written(named.join(whole, "label").select("v", "component_id"))
-    out = rows.join(by_class, "v", "left")
+    rows, classes = _classes(docs, n, percent)
+    whole = classes.groupBy("label").agg(F.min("least").alias("component_id"))
+    by_class = written(classes.join(whole, "label").select("v", "u", "component_id"))
+    out = rows.join(by_class, ["v", "u"], "left")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, size, v, null without words), and classes (v, least doc_id, label of their component)."""
+    """Rows (doc_id, size, v, u, null without words), and classes (v, u, n rows, least doc_id, label of the component)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    passed = written(docs.mapInArrow(_first_pass(n), f"doc_id {kind}, size long, v long, gram long, count long"))
-    rows = passed.where("gram IS NULL").select("doc_id", "size", "v")
+    passed = written(docs.mapInArrow(_first_pass(n), f"doc_id {kind}, size long, v long, u long, gram long, count long"))
+    rows = passed.where("gram IS NULL").select("doc_id", "size", "v", "u")
     common = passed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") >= SHARED_FROM)
     # at most SHARED rows of two longs; which of them are known only moves work, never a result
     top = common.orderBy(F.desc("count"), "gram").limit(SHARED).toPandas()
@@ -368,11 +394,15 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     rank[:] = len(grams) - 1 - np.arange(len(grams))
     shared = sc.broadcast((grams[order], rank[order]))
 
-    posted = docs.mapInArrow(_second_pass(n, percent, shared), "v long, size long, grams array<long>")
-    posted = posted.groupBy("v").agg(F.first("size").alias("size"), F.first("grams").alias("grams"))
-    entries = posted.select("v", "size", F.explode("grams").alias("gram"))
+    posted = docs.mapInArrow(_second_pass(n, percent, shared), "v long, u long, size long, grams array<long>")
+    posted = posted.groupBy("v", "u").agg(F.first("size").alias("size"), F.first("grams").alias("grams"))
+    posted = written(posted.withColumn("c", F.monotonically_increasing_id()))  # numbers hold once they are written
+    # one row of each class gives its set: the one with the class's smallest doc_id
+    own = rows.where("v IS NOT NULL").groupBy("v", "u").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+    classes = written(own.join(posted.select("v", "u", "c", "size"), ["v", "u"]))
+    entries = posted.select("c", "size", F.explode("grams").alias("gram"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = entries.repartition(parts, "gram").sortWithinPartitions("gram", "size", "v").mapInArrow(_columns(percent), "a long, b long, size_a long, size_b long, overlap long")
+    pairs = entries.repartition(parts, "gram").sortWithinPartitions("gram", "size", "c").mapInArrow(_columns(percent), "a long, b long, size_a long, size_b long, overlap long")
     least = lambda size: F.ceil(percent * F.col(size) / 100)
     # what two sets can share beyond the posted n-grams, at most, and what they must share in all
     rest = F.greatest(least("size_a"), least("size_b")) - 1
@@ -381,7 +411,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     candidates = written(components(near.select("a", "b")))
 
     # a large group is cut by size into bands so wide that links never reach further than the next one
-    sized = candidates.join(rows.where("v IS NOT NULL").groupBy("v").agg(F.first("size").alias("size")), F.col("node") == F.col("v")).select("node", "label", "size")
+    sized = candidates.join(classes.select(F.col("c").alias("node"), "size"), "node")
     group = candidates.groupBy("label").agg(F.count("*").alias("n"))
     log = F.floor(F.log("size") / (1.0001 * math.log(100 / percent))) if percent < 100 else F.col("size")
     banded = sized.join(group, "label").select("node", "label", F.when(F.col("n") > BLOCK, log).otherwise(F.lit(0)).cast("long").alias("band"))
@@ -390,14 +420,10 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     below = Window.partitionBy("label").orderBy("band").rangeBetween(-1, -1)
     bands = bands.withColumns({"above": F.coalesce(F.max("blocks").over(order), F.lit(0)), "below": F.coalesce(F.max("blocks").over(below), F.lit(0))})
     member = banded.join(bands, ["label", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # one row of each class gives its set: the one with the class's smallest doc_id
-    classes = written(rows.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("least")))
-    bit = candidates.join(classes, candidates.node == classes.v).select(F.col("v").bitwiseXOR(F.xxhash64("least")).bitwiseAND(FILTER_BITS - 1).alias("bit"))
-    words = bit.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).toPandas()
-    wanted = np.zeros(FILTER_BITS >> 5, np.uint32)
-    wanted[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    sets = docs.withColumn("d", F.xxhash64("doc_id")).mapInArrow(_wanted(n, sc.broadcast(wanted)), "v long, text string")
-    sets = sets.join(member, sets.v == member.node)
+    member = member.join(classes.select(F.col("c").alias("node"), "v", "u", "least"), "node").drop("n", "size")
+    wanted = _bits(member.select(F.col("v").bitwiseXOR(F.xxhash64("least"))))
+    sets = docs.withColumn("d", F.xxhash64("doc_id")).mapInArrow(_wanted(n, wanted), "v long, u long, text string")
+    sets = sets.join(member.withColumnRenamed("node", "c").drop("least"), ["v", "u"])
     block = lambda band, k: F.struct(band.alias("band"), k.cast("int").alias("k"))
     mine = block(F.col("band"), F.col("own"))
     upto = lambda n: F.slice(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1), F.lit(1), F.col(n))
@@ -405,9 +431,8 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     same = F.transform(upto("blocks"), lambda k: pair(mine, block(F.col("band"), k)))
     up = F.transform(upto("above"), lambda k: pair(mine, block(F.col("band") + 1, k)))
     down = F.transform(upto("below"), lambda k: pair(mine, block(F.col("band") - 1, k)))
-    dealt = sets.withColumn("p", F.explode(F.concat(same, up, down))).select("v", "label", mine.alias("own"), F.col("p.x").alias("x"), F.col("p.y").alias("y"), "text")
+    dealt = sets.withColumn("p", F.explode(F.concat(same, up, down))).select("c", "label", mine.alias("own"), F.col("p.x").alias("x"), F.col("p.y").alias("y"), "text")
     links = dealt.groupBy("label", "x", "y").applyInArrow(_blocks(n, percent), "a long, b long")
     label = components(links)
 
-    named = classes.join(label, classes.v == label.node, "left").select("v", "least", F.coalesce("label", "v").alias("label"))
-    return rows, written(named)
+    return rows, written(classes.join(label, classes.c == label.node, "left").select("v", "u", "n", "least", F.coalesce("label", "c").alias("label")))
