@@ -28,3 +28,10 @@ def test_accepted():
 
 def test_slots():
     assert [config.slot_problem(*x) for x in ((None, False), ("wal2json", False), ("pgoutput", True), ("pgoutput", False))] == ["slot not found", "slot uses wal2json, not pgoutput", "slot is in use", None]
+
+
+def test_dotenv(tmp_path):
+    at = tmp_path / ".env"
+    at.write_text("# settings\nCDC_SOURCE_PGDATABASE=a\nexport CDC_SOURCE_PGUSER='b c'\n\nCDC_SLOT=from_file\n")
+    assert (config.load({}, str(at)).source.user, config.load({"CDC_SLOT": "real"}, str(at)).slot, config.load({}, str(at)).slot) == ("b c", "real", "from_file")
+    assert config.dotenv(str(tmp_path / "none")) == {}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 # PostgreSQL's object identifiers of built-in types and the names of their definitions.
 PLAIN = {25: "TEXT", 23: "INTEGER", 20: "BIGINT", 16: "BOOLEAN", 3802: "JSONB", 1082: "DATE", 2950: "UUID"}
 VARCHAR, NUMERIC = 1043, 1700
-TEMPORAL = {1114: ("TIMESTAMP", "WITHOUT TIME ZONE"), 1184: ("TIMESTAMP", "WITH TIME ZONE"), 1083: ("TIME", "WITHOUT TIME ZONE"), 1266: ("TIME", "WITH TIME ZONE")}
+TEMPORAL = {1114: "TIMESTAMP WITHOUT TIME ZONE", 1184: "TIMESTAMP WITH TIME ZONE", 1083: "TIME WITHOUT TIME ZONE", 1266: "TIME WITH TIME ZONE"}
 SPARK = {25: T.StringType(), 23: T.IntegerType(), 20: T.LongType(), 16: T.BooleanType(), 3802: T.StringType(), 1082: T.DateType(), 2950: T.StringType(), 1043: T.StringType(), 1700: T.DecimalType(38, 18), 1114: T.TimestampNTZType(), 1184: T.TimestampType(), 1083: T.StringType(), 1266: T.StringType()}
 
 
@@ -27,8 +27,8 @@ def definition(oid: Column, modifier: Column) -> Column:
     precision, low = F.shiftright(packed, 16), packed.bitwiseAND(0xFFFF)
     scale = F.when(low >= 0x8000, low - 0x10000).otherwise(low)  # the low half is signed
     out = F.when(oid == NUMERIC, F.when(modifier == -1, "NUMERIC").when((modifier >= 4) & (precision > 0), F.format_string("NUMERIC(%d,%d)", precision, scale))).otherwise(out)
-    for k, (name, zone) in TEMPORAL.items():
-        out = F.when(oid == k, F.when(modifier == -1, f"{name} {zone}").when(modifier.between(0, 6), F.format_string(f"{name}(%d) {zone}", modifier))).otherwise(out)
+    for k, name in TEMPORAL.items():  # digits come last, as existing deployments write them
+        out = F.when(oid == k, F.when(modifier == -1, name).when(modifier.between(0, 6), F.format_string(f"{name}(%d)", modifier))).otherwise(out)
     return out
 
 

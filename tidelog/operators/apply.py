@@ -7,9 +7,12 @@ event that says anything about it. Nothing is ordered, windowed or gathered by k
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .ordered import WIDTH, last_known
+
 
 def key_value(name: str) -> Column:
     """A key column of the row that an event changes: by presence from the old row, else from the new one."""
@@ -26,13 +29,18 @@ def key_violation(key: list[str]) -> Column:
     return out
 
 
+def moved(key: list[str]) -> Column:
+    """Whether an event is an update that changes its row's key."""
+    differs = [F.coalesce(F.map_contains_key("old_data", k) & F.map_contains_key("data", k), F.lit(False)) & ~F.col("old_data")[k].eqNullSafe(F.col("data")[k]) for k in key]
+    return (F.col("type") == "UPDATE") & F.coalesce(F.greatest(*differs, F.lit(False)), F.lit(False))
+
+
 def split_key_changes(events: DataFrame, key: list[str]) -> DataFrame:
     """Updates that move a row become a DELETE of the old key and an INSERT of the new one, filled from the old row.
 
     step orders the two; what the old row doesn't hold stays absent, so old rows must be complete for such updates.
     """
-    moved = (F.col("type") == "UPDATE") & F.coalesce(F.exists(F.array(*[F.struct(F.col("old_data")[k].alias("a"), F.coalesce(F.col("data")[k], F.col("old_data")[k]).alias("b")) for k in key]), lambda x: ~x["a"].eqNullSafe(x["b"])), F.lit(False))
-    rows = events.withColumn("_moved", moved)
+    rows = events.withColumn("_moved", moved(key))
     filled = F.map_concat(F.map_filter("old_data", lambda k, _: ~F.map_contains_key(F.col("data"), k)), "data")
     none = F.lit(None).cast("map<string,string>")
     stay = rows.where("NOT _moved").withColumn("step", F.lit(0))
@@ -41,12 +49,46 @@ def split_key_changes(events: DataFrame, key: list[str]) -> DataFrame:
     return stay.unionByName(gone).unionByName(come).drop("_moved")
 
 
+def _lives(base: DataFrame | None, events: DataFrame, key: list[str], width: int) -> DataFrame:
+    """INSERTs and DELETEs by key (_key0, ...), lsn, step and commit_lsn, with before: what came last for the key.
+
+    Updates that move a row count as both. Keys are cut into ranges of positions, so a hot key isn't one task.
+    """
+    names = [f"_key{i}" for i in range(len(key))]
+    rows = split_key_changes(events.withColumn("_moves", moved(key)), key).where("type <> 'UPDATE'")
+    rows = rows.select(*[key_value(k).alias(n) for k, n in zip(key, names, strict=True)], "lsn", "step", "commit_lsn", "type", "_moves")
+    if base is not None:
+        old = base.select(*[F.col(k).cast("string").alias(n) for k, n in zip(key, names, strict=True)], F.lit(-1).cast("long").alias("lsn"), F.lit(0).alias("step"), F.lit(-1).cast("long").alias("commit_lsn"), F.lit("INSERT").alias("type"), F.lit(False).alias("_moves"))
+        rows = old.unionByName(rows)
+    for n in names:
+        rows = rows.where(F.col(n).isNotNull())
+    return last_known(rows, names, "lsn", F.col("type"), "before", width, ties=("step",), own=False)
+
+
+def effective(base: DataFrame | None, events: DataFrame, key: list[str], width: int = WIDTH) -> DataFrame:
+    """events without updates that move a row which isn't there: they match nothing, so nothing appears at the new key.
+
+    Leaving one out may show that a later one moves nothing either, so this goes on until none is left.
+    """
+    if events.where(moved(key)).first() is None:
+        return events
+    while True:
+        dead = _lives(base, events, key, width).where("_moves AND step = 0 AND NOT before <=> 'INSERT'").select("lsn")
+        dead = written(dead)
+        if dead.first() is None:
+            return events
+        events = written(events.join(dead, "lsn", "left_anti"))
+
+
 def state(base: DataFrame | None, events: DataFrame, key: list[str], columns: list[str], missing: str = "keep") -> DataFrame:
     """The table's rows, as texts, after all events(lsn, type, data, old_data); base has columns and comes before them.
 
-    missing: 'keep' leaves absent columns of an update alone, 'null' makes them null. Events whose key is null change
-    nothing, as no row equals null; deleting or updating a row that isn't there changes nothing.
+    missing: 'keep' leaves absent columns of an update alone and finds rows by their old key; 'null' makes such columns
+    null and finds rows by the new row's key, so that an update never moves a row: the rule of fixed column lists. Events
+    whose key is null change nothing, as no row equals null; deleting or updating a row that isn't there changes nothing.
     """
+    if missing == "null":
+        events = events.withColumn("old_data", F.lit(None).cast("map<string,string>"))
     rows = split_key_changes(events, key)
     if base is not None:
         old = base.select(F.lit(-1).cast("long").alias("lsn"), F.lit("INSERT").alias("type"), F.lit(0).alias("step"), F.map_from_arrays(F.array(*map(F.lit, columns)), F.array(*[F.col(c).cast("string") for c in columns])).alias("data"), F.lit(None).cast("map<string,string>").alias("old_data"))
@@ -67,14 +109,13 @@ def state(base: DataFrame | None, events: DataFrame, key: list[str], columns: li
     return alive.select(*[got[c].alias(c) for c in columns])
 
 
-def conflicts(base: DataFrame | None, events: DataFrame, key: list[str]) -> DataFrame:
-    """INSERT events whose key is live when they come: the keys, lsn and commit_lsn of each."""
-    rows = events.select(*[key_value(k).alias(k) for k in key], "lsn", "commit_lsn", "type")
-    if base is not None:
-        rows = base.select(*[F.col(k).cast("string").alias(k) for k in key], F.lit(-1).cast("long").alias("lsn"), F.lit(-1).cast("long").alias("commit_lsn"), F.lit("INSERT").alias("type")).unionByName(rows)
-    order = Window.partitionBy(*key).orderBy("lsn")
-    rows = rows.where("type <> 'UPDATE'").withColumn("before", F.lag("type").over(order))
-    return rows.where("type = 'INSERT' AND before = 'INSERT'").select(*key, "lsn", "commit_lsn")
+def conflicts(base: DataFrame | None, events: DataFrame, key: list[str], width: int = WIDTH) -> DataFrame:
+    """Events that bring a key to life that is live already: the keys, lsn and commit_lsn of each.
+
+    These are INSERTs and updates that move a row to another key; see effective() for moves of rows that aren't there.
+    """
+    found = _lives(base, events, key, width).where("type = 'INSERT' AND before = 'INSERT' AND lsn >= 0")
+    return found.select(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(key)], "lsn", "commit_lsn")
 
 
 def good_prefix(events: DataFrame, poisoned: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.pgtypes import definition
 from .filters import valid_identifier
 
+CATALOG = "namespace string, name string, ordinal int, column string, data_type string, type_oid bigint, typmod int, nullable boolean, has_default boolean, pk_position int"
 TABLE = ["namespace", "name"]
 
 
@@ -48,12 +49,12 @@ def compare(source: DataFrame, destination: DataFrame) -> DataFrame:
     return missing.unionByName(by_column).unionByName(keys.select(*TABLE, F.lit("PRIMARY_KEY_MISMATCH").alias("type"), F.lit(None).cast("string").alias("column")))
 
 
-def status(asked: DataFrame, source: DataFrame, destination: DataFrame) -> DataFrame:
-    """namespace, name, status of each table asked about: UNKNOWN where the source doesn't have it."""
+def status(asked: DataFrame, source: DataFrame, destination: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """namespace, name, columns to keep, and status of each table asked about: UNKNOWN where the source doesn't have it."""
     known = asked.join(source.select(*TABLE).distinct().withColumn("known", F.lit(True)), TABLE, "left")
-    n = compare(source, destination).groupBy(*TABLE).agg(F.count("*").alias("n"))
-    out = F.when(F.col("known").isNull(), "UNKNOWN").when(F.coalesce("n", F.lit(0)) > 0, "INCOMPATIBLE").otherwise("COMPATIBLE")
-    return known.join(n, TABLE, "left").select(*TABLE, out.alias("status"))
+    n = compare(source, destination).groupBy(*TABLE).agg(F.count("*").alias("differences"))
+    out = F.when(F.col("known").isNull(), "UNKNOWN").when(F.coalesce("differences", F.lit(0)) > 0, "INCOMPATIBLE").otherwise("COMPATIBLE")
+    return known.join(n, TABLE, "left").select(*TABLE, *(keep or []), out.alias("status"))
 
 
 def gate(differences: DataFrame, source: DataFrame, destination: DataFrame, mode: str, apply_mode: str) -> DataFrame:
@@ -115,17 +116,23 @@ def observed_candidates(changes: DataFrame, validation: DataFrame) -> DataFrame:
     return own.unionByName(rest.join(own.select(*TABLE, "column"), [*TABLE, "column"], "left_anti"))
 
 
-def event_column_differences(events: DataFrame, destination: DataFrame) -> DataFrame:
-    """The first difference of each event shape: schema, table, columns, problem, column.
+def event_column_differences(events: DataFrame, destination: DataFrame, keyed: bool = True) -> DataFrame:
+    """The first difference of each event shape: schema, table, columns, problem, column, commit_lsn and lsn where it shows.
 
-    Checked once for each distinct table and column set, not for each event.
+    Checked once for each distinct table and column set, not for each event. destination may say since which position a
+    column is there; with keyed, a table needs a key.
     """
-    needed = F.array_sort(F.array_distinct(F.concat(F.coalesce(F.map_keys("data"), F.array().cast("array<string>")), F.coalesce(F.map_keys("old_data"), F.array().cast("array<string>")))))
-    shapes = events.select("schema", "table", needed.alias("columns")).distinct()
-    have = destination.groupBy(F.col("namespace").alias("schema"), F.col("name").alias("table")).agg(F.collect_set("column").alias("have"), F.max(F.col("pk_position").isNotNull()).alias("keyed"))
-    rows = shapes.join(have, ["schema", "table"], "left").withColumn("absent", F.array_except("columns", "have"))
-    problem = F.when(F.col("have").isNull(), "TABLE_MISSING").when(F.size("absent") > 0, "COLUMN_MISSING").when(~F.col("keyed"), "PRIMARY_KEY_MISSING")
-    return rows.select("schema", "table", F.concat_ws(",", "columns").alias("columns"), problem.alias("problem"), F.when(problem == "COLUMN_MISSING", F.element_at("absent", 1)).alias("column"))
+    none = F.array().cast("array<string>")
+    needed = F.array_sort(F.array_distinct(F.concat(F.coalesce(F.map_keys("data"), none), F.coalesce(F.map_keys("old_data"), none))))
+    at = F.struct("commit_lsn", "lsn") if "commit_lsn" in events.columns else F.struct(F.lit(None).cast("long").alias("commit_lsn"), F.lit(None).cast("long").alias("lsn"))
+    shapes = events.select("schema", "table", needed.alias("columns"), at.alias("at")).groupBy("schema", "table", "columns").agg(F.min("at").alias("at"))
+    since = F.col("since") if "since" in destination.columns else F.lit(-1).cast("long")
+    have = destination.groupBy(F.col("namespace").alias("schema"), F.col("name").alias("table")).agg(F.map_from_entries(F.collect_list(F.struct("column", since))).alias("have"), F.max(F.col("pk_position").isNotNull()).alias("keyed"))
+    rows = shapes.join(have, ["schema", "table"], "left")
+    # a column that comes with a later transaction isn't there yet
+    rows = rows.withColumn("absent", F.filter("columns", lambda c: F.coalesce(F.col("have")[c] > F.coalesce("at.commit_lsn", F.lit(1 << 62)), F.lit(True))))
+    problem = F.when(F.col("have").isNull(), "TABLE_MISSING").when(F.size("absent") > 0, "COLUMN_MISSING").when(~F.col("keyed") & F.lit(keyed), "PRIMARY_KEY_MISSING")
+    return rows.select("schema", "table", F.concat_ws(",", "columns").alias("columns"), problem.alias("problem"), F.when(problem == "COLUMN_MISSING", F.element_at("absent", 1)).alias("column"), "at.commit_lsn", "at.lsn")
 
 
 def ordered_columns(events: DataFrame, destination: DataFrame) -> DataFrame:

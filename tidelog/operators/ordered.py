@@ -10,20 +10,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 65_536
+#: Frames of a window: rows up to and with the own one, and rows before it.
+UP_TO, EARLIER = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
 
 
 def _ranged(df: DataFrame, order: str, width: int) -> DataFrame:
     return df.withColumn("_range", F.floor(F.col(order) / width))
 
 
-def last_known(df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int = WIDTH) -> DataFrame:
-    """df with `name`: the last value that isn't null at or before each row, by keys; the as-of join of a log to itself."""
+def last_known(df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int = WIDTH, ties: tuple[str, ...] = (), own: bool = True) -> DataFrame:
+    """df with `name`: the last value that isn't null at or before each row, by keys; the as-of join of a log to itself.
+
+    ties: columns that order rows of one position. Without own, a row's own value isn't meant, only those before it.
+    """
     df = _ranged(df.withColumn("_value", value), order, width)
-    within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    handed = df.where(F.col("_value").isNotNull()).groupBy(*keys, "_range").agg(F.max_by("_value", order).alias("_end"))
-    ranges = df.select(*keys, "_range").distinct().join(handed, [*keys, "_range"], "left")
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("_start", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+    within = Window.partitionBy(*keys, "_range").orderBy(order, *ties).rowsBetween(*(UP_TO if own else EARLIER))
+    handed = df.groupBy(*keys, "_range").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(order, *ties))).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*EARLIER)
+    ranges = handed.withColumn("_start", F.last("_end", ignorenulls=True).over(before)).drop("_end")
     out = df.withColumn("_own", F.last("_value", ignorenulls=True).over(within)).join(ranges, [*keys, "_range"], "left")
     return out.withColumn(name, F.coalesce("_own", "_start")).drop("_value", "_own", "_start", "_range")
 
@@ -31,9 +35,9 @@ def last_known(df: DataFrame, keys: list[str], order: str, value: Column, name:
 def running_sum(df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int = WIDTH) -> DataFrame:
     """df with `name`: the sum of value up to and with each row, by keys."""
     df = _ranged(df.withColumn("_value", value), order, width)
-    within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(*UP_TO)
     sums = df.groupBy(*keys, "_range").agg(F.sum("_value").alias("_sum"))
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*EARLIER)
     sums = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     out = df.withColumn("_own", F.sum("_value").over(within)).join(sums, [*keys, "_range"])
     return out.withColumn(name, F.col("_own") + F.col("_start")).drop("_value", "_own", "_start", "_range")
@@ -42,9 +46,9 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: Column, name:
 def running_max(df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int = WIDTH) -> DataFrame:
     """df with `name`: the largest value before each row, by keys; null at the first."""
     df = _ranged(df.withColumn("_value", value), order, width)
-    earlier = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(*EARLIER)
     tops = df.groupBy(*keys, "_range").agg(F.max("_value").alias("_top"))
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*EARLIER)
     tops = tops.withColumn("_start", F.max("_top").over(before)).drop("_top")
     out = df.withColumn("_own", F.max("_value").over(earlier)).join(tops, [*keys, "_range"])
     return out.withColumn(name, F.greatest("_own", "_start")).drop("_value", "_own", "_start", "_range")

@@ -49,13 +49,16 @@ def column_changes(before: Column, after: Column) -> Column:
     return F.concat(moved, changed, F.when(order, _one("UNKNOWN", "column_order_changed")).otherwise(none))
 
 
-def observe(relations: DataFrame) -> DataFrame:
+def observe(relations: DataFrame, strict: bool = True) -> DataFrame:
     """epoch, seq, relation_id, ordinal, classification, column, reason: one row for each change.
 
     A message is compared to the last valid one with its id, unless another id has taken over that one's name since;
-    else to the last one with its name; a first sighting is no change. Snapshots live as long as the epoch.
+    else to the last one with its name; a first sighting is no change. Snapshots live as long as the epoch. A message that
+    can't be a snapshot is an error; where not strict it is passed over, and the snapshot before it stays.
     """
-    rows = relations.where(invalid(F.col("relation_id"), F.col("namespace"), F.col("name"), F.col("columns")).isNull())
+    wrong = invalid(F.col("relation_id"), F.col("namespace"), F.col("name"), F.col("columns"))
+    error = F.raise_error(F.concat(wrong, F.lit(" at frame "), F.col("seq"))).cast("boolean") if strict else F.lit(False)
+    rows = relations.where(F.when(wrong.isNotNull(), error).otherwise(F.lit(True)))
     by_id, by_name = Window.partitionBy("epoch", "relation_id").orderBy("seq"), Window.partitionBy("epoch", "namespace", "name").orderBy("seq")
     own = F.struct("seq", "relation_id", "namespace", "name", "columns", F.lead("seq").over(by_name).alias("taken_at"), F.lead("relation_id").over(by_name).alias("taken_by"))
     rows = rows.withColumn("own", own)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lsn
-from . import apply, ledger
+from .replica import Replica
 from .store import Store
 
 
@@ -31,31 +32,45 @@ def jsonl(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def replica(store: Store, tables: dict[str, tuple[list[str], list[str]]], fail: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """Effectively once: transactions in the ledger are left out; the others' tables and ledger rows move in one commit.
+class Lines:
+    """The file sink: jsonl() with a name, optional echo of each line, and hooks for tests.
 
-    tables: by schema.table name, its key and its columns. Events of other tables fail the batch, as does an INSERT on a
-    live key; nothing of a failed batch is seen. fail: a hook for tests, called before the commit.
+    fail_match: writing a line that holds this text fails, as a full disk would; lines of the batch before it stay.
     """
 
-    def write(events: DataFrame, batch: int) -> None:
-        new = ledger.unapplied(events, store.ledger())
-        strange = new.where(~F.concat_ws(".", "schema", "table").isin(*tables)).select("schema", "table").first()
-        if strange:
-            raise ValueError(f"table outside the include list: {strange['schema']}.{strange['table']}")
-        out = {}
-        for name, (key, columns) in tables.items():
-            own = new.where(F.concat_ws(".", "schema", "table") == name)
-            clash = apply.conflicts(store.table(name), own, key).first()
-            if clash:
-                raise ValueError(f"insert on a live key of {name}: {clash.asDict()}")
-            out[name] = apply.state(store.table(name), own, key, columns)
-        if fail:
-            fail(batch)
-        store.commit(out, ledger.entries(new))
-
-    return write
-
-
-#: Sinks by name.
-KINDS = {"file": jsonl, "postgres": replica}
+    name = "file"
+
+    def __init__(self, path: str, echo: Callable[[str], None] | None = None, fail_match: str = ""):
+        self.path, self.echo, self.fail_match, self.counters = path, echo, fail_match, Counter()
+
+    def ready(self) -> bool:
+        return True
+
+    def close(self) -> None:
+        """Nothing stays open between batches."""
+
+    def __call__(self, events: DataFrame, batch: int) -> None:
+        self.apply(events.select("source_id", "xid", "commit_lsn").distinct(), events, batch=batch)
+
+    def apply(self, transactions: DataFrame, events: DataFrame, relations: DataFrame | None = None, batch: int = 0) -> None:
+        bad = None
+        if self.fail_match:
+            found = lines(events).where(F.contains("line", F.lit(self.fail_match))).agg(F.min(F.struct("commit_lsn", "ordinal")).alias("x")).first()["x"]
+            bad = found and (found["commit_lsn"], found["ordinal"])
+        if bad:
+            events = events.where((F.col("commit_lsn") < bad[0]) | ((F.col("commit_lsn") == bad[0]) & (F.col("ordinal") < bad[1])))
+        jsonl(self.path)(events, batch)
+        if self.echo:
+            for r in lines(events).orderBy("commit_lsn", "ordinal").select("line").toLocalIterator():
+                self.echo(r["line"])
+        self.counters.update({"events_applied": events.count(), "transactions_committed": transactions.count() if not bad else transactions.where(F.col("commit_lsn") < bad[0]).count()})
+        if bad:
+            self.counters.update({"transactions_failed": 1, "sink_errors": 1})
+            raise OSError(f"a line that holds {self.fail_match!r} couldn't be written")
+
+
+def open_sink(config, spark: SparkSession, store: str = "", source: DataFrame | None = None, echo: Callable[[str], None] | None = None):
+    """The sink that the settings name."""
+    if config.sink == "file":
+        return Lines(config.output, echo, config.fail_write_match)
+    return Replica(Store(spark, store), config.tables, config.apply_mode, config.schema_evolution, source)

@@ -65,6 +65,10 @@ class Config:
     retry_attempts: int = 0
     health: bool = True
     health_address: str = ":8080"
+    pause_before_ack: bool = False
+    pause_after_commit: bool = False
+    pause_match: str = ""
+    fail_write_match: str = ""
 
     def __post_init__(self) -> None:
         for name, value in (("source_id", self.source_id), ("slot", self.slot), ("publication", self.publication)):
@@ -90,15 +94,30 @@ def _connection(env: Mapping[str, str], prefix: str) -> Connection:
     return Connection(get("HOST", "localhost"), int(get("PORT", "5432")), get("DATABASE"), get("USER"), get("PASSWORD"), get("SSLMODE", "disable"))
 
 
-def load(env: Mapping[str, str] | None = None) -> Config:
-    """The settings of an environment (the process's by default); ValueError where they don't fit together."""
-    env = os.environ if env is None else env
+def dotenv(path: str = ".env") -> dict[str, str]:
+    """Settings of a file of KEY=value lines; blank lines and # comments are skipped, quotes around a value go. Optional."""
+    out: dict[str, str] = {}
+    if not os.path.isfile(path):
+        return out
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            name, sep, value = line.strip().removeprefix("export ").partition("=")
+            if sep and name and not name.startswith("#"):
+                value = value.strip()
+                out[name.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value
+    return out
+
+
+def load(env: Mapping[str, str] | None = None, file: str | None = None) -> Config:
+    """The settings of an environment (the process's by default) over those of a file; ValueError where they don't fit."""
+    env = (dotenv(file) if file else {}) | dict(os.environ if env is None else env)
     get = lambda k, d: env.get(f"CDC_{k}") or d
     sink = get("SINK", "file")
     return Config(
         source=_connection(env, "CDC_SOURCE_PG"), destination=_connection(env, "CDC_DEST_PG") if sink == "postgres" else None, source_id=get("SOURCE_ID", "cdc-demo"), slot=get("SLOT", "cdc_slot"), publication=get("PUBLICATION", "cdc_publication"), sink=sink, output=get("OUTPUT_FILE", "cdc.txt"),
         apply_mode=get("POSTGRES_APPLY_MODE", "explicit"), schema_evolution=get("SCHEMA_EVOLUTION", "disabled"), tables=tuple(parse_tables(env.get("CDC_TABLE_INCLUDE", DEFAULT_TABLES))), autoconfigure=truth(get("PUBLICATION_AUTOCONFIGURE", "false")), audit=truth(get("SCHEMA_AUDIT_LOG", "false")),
         status_interval=seconds(get("STATUS_INTERVAL", "10s")), retry_initial=seconds(get("RETRY_INITIAL_DELAY", "1s")), retry_most=seconds(get("RETRY_MAX_DELAY", "30s")), retry_attempts=int(get("RETRY_MAX_ATTEMPTS", "0")), health=truth(get("HEALTH_ENABLED", "true")), health_address=get("HEALTH_ADDR", ":8080"),
+        pause_before_ack=truth(get("TEST_PAUSE_BEFORE_ACK", "false")), pause_after_commit=truth(get("TEST_PAUSE_AFTER_SINK_COMMIT", "false")), pause_match=get("TEST_PAUSE_MATCH", ""), fail_write_match=get("TEST_FAIL_WRITE_MATCH", ""),
     )
 
 

@@ -7,11 +7,36 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local: dict[str, str] = {}
+
+
+def root(spark: SparkSession) -> str:
+    """The session's own folder in spark.checkpoint.dir, or in the folder that setCheckpointDir() has named.
+
+    A folder of this machine is used only where neither is set and all runs on this machine, as in tests.
+    """
+    sc = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if at is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        at = _local.setdefault(sc.applicationId, _local.get(sc.applicationId) or tempfile.mkdtemp(prefix="scratch-"))
+    return f"{at.rstrip('/')}/tidelog-{sc.applicationId}"
+
 
 def folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; on this machine only where the session names none, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{at.rstrip('/')}/{uuid.uuid4().hex}" if at else tempfile.mkdtemp(prefix="scratch-")
+    """A new folder of the session."""
+    return f"{root(spark)}/{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, at: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all that written() has kept in this session; for the owner of the session, once results are stored."""
+    delete(spark, root(spark))
 
 
 def written(df: DataFrame) -> DataFrame:

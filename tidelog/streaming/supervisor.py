@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import threading
 import time
 from collections.abc import Callable
@@ -10,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger("tidelog.supervisor")
+
 
 @dataclass(frozen=True)
 class Retry:
@@ -52,8 +55,11 @@ class Readiness:
             return self._ready, self._error
 
 
-def serve(ready: Readiness, metrics: Callable[[], str], prometheus: Callable[[], str], port: int):
-    """An HTTP server thread: /livez, /readyz, /metrics (JSON), /metrics/prometheus. Returns the server."""
+def serve(ready: Readiness, metrics: Callable[[], str], prometheus: Callable[[], str], address: str = "127.0.0.1:0"):
+    """An HTTP server thread: /livez, /readyz, /metrics (JSON), /metrics/prometheus. Returns the server.
+
+    address: host:port; without a host, all addresses of this machine.
+    """
     from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
     class Handler(BaseHTTPRequestHandler):
@@ -73,15 +79,16 @@ def serve(ready: Readiness, metrics: Callable[[], str], prometheus: Callable[[],
         def log_message(self, *_: object) -> None:
             pass
 
-    server = ThreadingHTTPServer(("127.0.0.1", port), Handler)
+    server = ThreadingHTTPServer((address.rpartition(":")[0], int(address.rpartition(":")[2])), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     return server
 
 
-def supervise(start: Callable[[], object], retry: Retry, ready: Readiness, sleep: Callable[[float], None] = time.sleep) -> int:
+def supervise(start: Callable[[], object], retry: Retry, ready: Readiness, sleep: Callable[[float], None] = time.sleep, reconnected: Callable[[], None] = lambda: None) -> int:
     """Starts the stream (an object with awaitTermination) again after each failure; attempts it took.
 
-    The count of attempts isn't reset by a success. Raises the last error when attempts run out.
+    start opens what it needs anew, so nothing that an attempt knew of the destination outlives it; reconnected is called
+    before each new attempt. The count of attempts isn't reset by a success. Raises the last error when attempts run out.
     """
     attempt = 0
     while True:
@@ -95,4 +102,6 @@ def supervise(start: Callable[[], object], retry: Retry, ready: Readiness, sleep
             ready.set_not_ready(e)
             if retry.attempts and attempt >= retry.attempts:
                 raise
+            log.warning("event=reconnect attempt=%d delay=%.3f error=%s", attempt, retry.delay(attempt), e)
             sleep(retry.delay(attempt))
+            reconnected()
