@@ -1,51 +1,75 @@
-"""Connected components of an edge table, and where intermediate tables go."""
+"""Connected components of an edge table, tables between steps, and the most frequent rows of a table of counts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+from ..sources.scratch import written
+
+__all__ = ["components", "most_frequent", "written"]
 
-def checkpoint_dir(spark: SparkSession) -> None:
-    """Sets the checkpoint folder that the session names; one of this machine only where it names none, as in tests."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+#: Rows of a node from which on it is a hub, at least, and hubs at most (half of it, both ways counted): a hub's lowest
+#: neighbour goes to every worker, so that its edges needn't come together in one task.
+HUB_ROWS, HUBS = 256, 1 << 16
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, written once as Parquet into the checkpoint folder and read back: later readers never recompute it."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _with_lowest(edges: DataFrame, n: int) -> DataFrame:
+    """edges(a, b) with m, the lowest of a and all its b. n: rows of edges, about."""
+    low = edges.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("_rows"))
+    many = max(HUB_ROWS, n // HUBS)
+    hubs = F.broadcast(low.where(F.col("_rows") > many).select("a", "m"))  # n / many rows at most
+    others = edges.join(hubs.select("a"), "a", "left_anti").join(low.where(F.col("_rows") <= many).select("a", "m"), "a")
+    return others.unionByName(edges.join(hubs, "a"))
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """node, label (the smallest node that it reaches) of every node in edges(a, b), two columns of longs.
 
     Alternates stars: each node's neighbours are tied to the smallest among them, first larger ones, then smaller ones,
-    until nothing moves. Rows never outnumber the edges, and each round is aggregated before it is shuffled.
+    until nothing moves. Rows never outnumber the edges, each round is aggregated before it is shuffled, and its table is
+    deleted once the next one is there.
     """
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark = edges.sparkSession
+    kept: list[str] = []
+
+    def stored(df: DataFrame) -> DataFrame:
+        at = scratch.folder(spark)
+        df.write.parquet(f"{at}/t")
+        for past in kept:
+            scratch.delete(spark, past)
+        kept[:] = [at]
+        return spark.read.schema(df.schema).parquet(f"{at}/t")
+
+    e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    for _ in range(rounds):
-        # large star: of each node's neighbours, the larger ones go to the smallest of it and them
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        e = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        # small star: the smaller ones, and the node itself, go to the smallest
-        low = e.groupBy("a").agg(F.min("b").alias("m"))
-        e = e.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
-        e = written(e)
+    for _ in range(rounds + 1):
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
+        # large star: of each node's neighbours, the larger ones go to the smallest of it and them
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = _with_lowest(both, 2 * now[0]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        # small star: the smaller ones, and the node itself, go to the smallest
+        ties = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))
+        e = stored(_with_lowest(large, now[0]).select(F.explode(ties).alias("x")).select("x.a", "x.b").where("a <> b").distinct())
     else:
         raise RuntimeError(f"components didn't settle in {rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+
+
+def most_frequent(counts: DataFrame, n: str, most: int) -> tuple[DataFrame, bool]:
+    """The rows of counts with the largest n, at most `most` of them, and whether these are all.
+
+    Whole steps of n, eight for each doubling, are taken while they fit, so only a histogram of at most 8 x 64 rows
+    reaches the driver, and no task puts rows in order. Rows with n >= 1; counts is read twice.
+    """
+    step = F.floor(F.log2(n) * 8)
+    steps = sorted(((r["step"], r["rows"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()), reverse=True)
+    fit, rows = 0, 0
+    while fit < len(steps) and rows + steps[fit][1] <= most:
+        rows += steps[fit][1]
+        fit += 1
+    return counts.where(step >= steps[fit - 1][0] if fit else F.lit(False)), fit == len(steps)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from ._graph import components, written
+from ._graph import components, most_frequent, written
 from ._text import U64, chained, column_of, lower_ascii, named, raw, slices, spans, table_of, texts
 
 #: Bytes between words.
@@ -385,13 +385,14 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     kind = docs.schema["doc_id"].dataType.simpleString()
     passed = written(docs.mapInArrow(_first_pass(n), f"doc_id {kind}, size long, v long, u long, gram long, count long"))
     rows = passed.where("gram IS NULL").select("doc_id", "size", "v", "u")
-    common = passed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") >= SHARED_FROM)
+    common = written(passed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") >= SHARED_FROM))
     # at most SHARED rows of two longs; which of them are known only moves work, never a result
-    top = common.orderBy(F.desc("count"), "gram").limit(SHARED).toPandas()
-    grams = top["gram"].to_numpy(np.int64).view(U64)
-    order = np.argsort(grams)
+    top = most_frequent(common, "count", SHARED)[0].toPandas()
+    grams, count = top["gram"].to_numpy(np.int64), top["count"].to_numpy(np.int64)
     rank = np.empty(len(grams), np.int64)
-    rank[:] = len(grams) - 1 - np.arange(len(grams))
+    rank[np.lexsort((-grams, count))] = np.arange(len(grams))
+    grams = grams.view(U64)
+    order = np.argsort(grams)
     shared = sc.broadcast((grams[order], rank[order]))
 
     posted = docs.mapInArrow(_second_pass(n, percent, shared), "v long, u long, size long, grams array<long>")

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._graph import written
+from ._graph import most_frequent, written
 from ._text import column_of, distinct, raw, slices, texts
 
 #: Bytes up to which a pre-token goes through the table.
@@ -174,18 +174,6 @@ def table(docs: DataFrame, vocabulary: str) -> DataFrame:
     return written(frequencies(docs, vocabulary).mapInArrow(run, "pre_token string, n long, pieces long"))
 
 
-def _common(counted: DataFrame, most: int) -> tuple[dict[bytes, int], bool]:
-    """Pieces of the most frequent pre-tokens, as many as whole steps of frequency allow; whether these are all."""
-    step = F.floor(F.log2("n") * 8)
-    steps = sorted(((r["step"], r["rows"]) for r in counted.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()), reverse=True)  # 8 x 63 rows at most
-    rows = np.cumsum([r for _, r in steps])
-    fit = int(np.searchsorted(rows, most, "right"))
-    if not fit:
-        return {}, not steps
-    got = counted.where(step >= steps[fit - 1][0]).select("pre_token", "pieces").toArrow()  # `most` rows of LONG bytes at most
-    return dict(zip((t.encode() for t in got.column("pre_token").to_pylist()), got.column("pieces").to_pylist(), strict=True)), fit == len(steps)
-
-
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, common: int = COMMON) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every text of docs(doc_id, text).
 
@@ -193,7 +181,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, common: in
     """
     docs = docs.select("doc_id", "text")
     counted = table(docs, vocabulary)
-    known, every = _common(counted, common)
+    top, every = most_frequent(counted, "n", common)
+    got = top.select("pre_token", "pieces").toArrow()  # `common` rows of LONG bytes, at most
+    known = dict(zip((t.encode() for t in got.column("pre_token").to_pylist()), got.column("pieces").to_pylist(), strict=True))
     shared = docs.sparkSession.sparkContext.broadcast(known)
     pair = pa.list_(pa.struct([("pre_token", pa.string()), ("times", pa.int64())]))
 
