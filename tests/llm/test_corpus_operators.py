@@ -115,6 +115,59 @@ def test_mixing(spark, monkeypatch, seed):
     assert rows(mixing.mixed(df)) == sorted((tuple(x.row) for x in got for _ in range(x.passes)), key=str)
 
 
+def brute_passes(docs, most=3):
+    """Rows (h, doc_id, source, size) with how often the mix takes them: all finish times put in order, cut at the budget."""
+    sizes = collections.Counter()
+    for _, _, source, size in docs:
+        sizes[source] += size
+    target, items, least = brute_targets(sizes), [], lambda d: (d is not None, d or 0)
+    for rank, s in enumerate(sorted(x for x in sizes if x is not None) + [None] * (None in sizes)):
+        upto = 0
+        for h, d, size, i in sorted(((h, d, size, i) for i, (h, d, own, size) in enumerate(docs) if own == s), key=lambda r: (r[0], least(r[1]), r[2])):
+            upto += size
+            items += [(((k * sizes[s] + upto) / target[s], rank, k, h, least(d)), size, i) for k in range(most) if target[s] > 0 and size]
+    taken, used = collections.Counter(), 0
+    for key in sorted({x[0] for x in items}):
+        own = [x for x in items if x[0] == key]
+        used += sum(x[1] for x in own)
+        if used > sum(sizes.values()):
+            break
+        taken.update(i for *_, i in own)
+    return sorted(((*d[:3], d[3], taken[i]) for i, d in enumerate(docs)), key=str)
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_mixing_equals_sort_and_truncate(spark, monkeypatch, seed):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    monkeypatch.setattr(mixing, "COARSE", 8)
+    r = random.Random(seed)
+    docs = [(r.choice([k, k, None]), "w " * r.choice([0, 1, 2, 5, 9]), r.choices(["a", "b", None, "z"], [20, 2, 3, 1])[0]) for k in range(120)] + [(900, "long " * 300, "b")]
+    df = spark.createDataFrame(docs + docs[:15], "doc_id long, text string, source string")
+    hashed = df.withColumn("h", F.xxhash64(F.lit(mixing.SEED), "doc_id", "text").bitwiseAND((1 << 63) - 1)).collect()
+    want = brute_passes([(x.h, x.doc_id, x.source, len(x.text.split())) for x in hashed])
+    got = mixing.passes(df).select(F.xxhash64(F.lit(mixing.SEED), "row.doc_id", "row.text").bitwiseAND((1 << 63) - 1).alias("h"), "row.doc_id", "row.source", "size", "passes").collect()
+    assert sorted(map(tuple, got), key=str) == want
+
+
+@tables
+def test_mixing_equals_sort_and_truncate_on_the_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    hashed = df.withColumn("h", F.xxhash64(F.lit(mixing.SEED), "doc_id", "text").bitwiseAND((1 << 63) - 1)).collect()
+    want = {d: n for _, d, _, _, n in brute_passes([(x.h, x.doc_id, x.source, len(re.findall(r"[^\x20\x09-\x0D]+", x.text or ""))) for x in hashed])}
+    assert {x.doc_id: x.passes for x in mixing.plan(df).collect()} == want
+
+
+def test_very_long_texts(spark):
+    """Whole texts count, at their end too."""
+    long = [(1, "the cat sat " * 60_000 + "end", "en", "a"), (2, "le chat noir " * 40_000, "fr", "b"), (3, "the cat", "en", "a"), (4, "le chat", "fr", "b"), (5, "x" * 400_000, None, "a"), (6, "plain words here " * 30_000 + "scumline", "en", "a")]
+    docs = spark.createDataFrame(long, "doc_id long, text string, lang string, source string")
+    assert {x.doc_id: x.size for x in mixing.plan(docs).collect()} == {d: len(t.split()) for d, t, *_ in long}
+    got = {x.doc_id: x.lang_pred for x in language.predict(docs).collect()}
+    assert (got[1], got[2], got[3]) == ("en", "fr", "en") and len(got) == 6
+    model = toxicity.fit([(f"plain words number {k}", 0, "en") for k in range(60)] + [(f"plain scumline words {k}", 1, "en") for k in range(60)])
+    assert {x.doc_id: x.predicted for x in toxicity.score(docs, model).collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
+
+
 def test_mixing_of_nothing(spark):
     kind = "doc_id long, text string, source string"
     assert mixing.plan(spark.createDataFrame([], kind)).count() == mixing.mixed(spark.createDataFrame([], kind)).count() == 0
@@ -281,6 +334,69 @@ def test_toxicity_learns(spark):
     assert {x.score for x in toxicity.score(d, none).collect()} == {0.0} and toxicity.score(d.limit(0), none).count() == 0
 
 
+def small_model(rng):
+    """A model of few, large numbers; float64, so that differences can be taken."""
+    e = rng.standard_normal((toxicity.BUCKETS + 1, toxicity.DIM))
+    e[toxicity.BUCKETS] = 0
+    filters = [rng.standard_normal((w, toxicity.DIM, toxicity.FILTERS)) for w in toxicity.WIDTHS]
+    return e, filters, [rng.standard_normal(toxicity.FILTERS) for _ in filters], rng.standard_normal(len(filters) * toxicity.FILTERS) * 0.3, 0.2
+
+
+def brute_probability(e, filters, bias, w, b, rows):
+    """One text: every filter at every place, word by word, the largest response of each, a logistic layer."""
+    x, pooled = [e[i] + e[j] for i, j in rows], []
+    for f, c in zip(filters, bias, strict=True):
+        for k in range(toxicity.FILTERS):
+            best = max(sum(float(x[p + j] @ f[j, :, k]) for j in range(len(f))) for p in range(len(x) - len(f) + 1))
+            pooled.append(max(0.0, best + c[k]))
+    return 1 / (1 + math.exp(-(sum(p * q for p, q in zip(pooled, w, strict=True)) + b)))
+
+
+def test_toxicity_forward_equals_brute_force():
+    model = small_model(np.random.default_rng(3))
+    some = ["a few words here", "one", "Repeated repeated REPEATED words", "", "!!", "é中 mixed", "a " * 40]
+    column = pa.array(some, pa.large_string())
+    rows_, begin = toxicity.word_rows(column)
+    for k, t in enumerate(some):  # words, whole and by stem, hashed one at a time
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", t.lower().encode())
+        alone = [toxicity.word_rows(pa.array([w.decode()], pa.large_string()))[0][0].tolist() for w in words]
+        assert rows_[begin[k] : begin[k + 1]].tolist() == alone + [[toxicity.BUCKETS] * 2] * max(toxicity.WIDTHS)
+    own = toxicity.Scorer(toxicity.Model(*model, np.zeros((toxicity.BUCKETS + 1, 0), np.float32), np.array([0.4])))
+    got, plain = own.scores(column), own.plain(rows_, begin)
+    for k, t in enumerate(some):
+        p = brute_probability(*model, rows_[begin[k] : begin[k + 1]])
+        assert abs(p - plain[k]) < 1e-6
+        want = 0.0 if not re.search(r"\w", t) else 0.3 * p / 0.4 if p < 0.4 else 0.3 + 0.7 * (p - 0.4) / 0.6
+        assert abs(got[k] - want) < 1e-6
+        assert abs(own.scores(pa.array([t], pa.large_string()))[0] - got[k]) < 1e-9  # the texts beside it don't matter
+
+
+def test_toxicity_gradients_equal_differences():
+    rng = np.random.default_rng(8)
+    e, filters, bias, w, b = small_model(rng)
+    rows_, begin = toxicity.word_rows(pa.array(["a few words", "more words and more", "x y", "few"], pa.large_string()))
+    y, weight = np.array([1.0, 0.0, 1.0, 0.0]), np.array([1.0, 2.0, 1.0, 0.5])
+
+    def loss():
+        p = np.array([brute_probability(e, filters, bias, w, b, rows_[begin[k] : begin[k + 1]]) for k in range(4)])
+        return float((weight * -(y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / 4)
+
+    touched, g_e, g_filters, g_bias, g_w, g_b = toxicity.gradients(e, filters, bias, w, b, rows_, begin, y, weight)
+    checks = [(w, k, g_w[k]) for k in range(0, len(w), 5)]
+    checks += [(f, (j, d, k), g[j, d, k]) for f, g in zip(filters, g_filters, strict=True) for j in range(len(f)) for d, k in ((0, 0), (5, 3), (9, 7))]
+    checks += [(c, k, g[k]) for c, g in zip(bias, g_bias, strict=True) for k in (0, 4)]
+    checks += [(e, (row, d), g_e[n, d]) for n, row in enumerate(touched) if row != toxicity.BUCKETS for d in (0, 7)]
+    assert np.abs([g for *_, g in checks]).max() > 1e-3
+    for a, at, g in checks:
+        old, step = a[at], 1e-6
+        a[at] = old + step
+        up = loss()
+        a[at] = old - step
+        down = loss()
+        a[at] = old
+        assert abs((up - down) / (2 * step) - g) < 1e-5, at
+
+
 def test_block_links_equal_sets():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(30)]
