@@ -182,6 +182,11 @@ def test_personal_data(odd, none, spark):
     assert (digest[0].n_email, digest[0].n_ip, digest[0].spans) == (1, 1, "email:5:14,ip:18:26") and digest[0].base_sha256 == hashlib.sha256(b"email:5:14,ip:18:26").hexdigest()
     assert rows(personal_data.redacted(docs)) == [(1, "mail <EMAIL> or <IP>", 20, "keep"), (2, None, None, "keep"), (3, "clean", 99, None)]
     assert personal_data.digests(odd).count() == len(ODD) and rows(personal_data.digests(none)) == rows(personal_data.redacted(none)) == []
+    scored = {t: [(s.kind, s.score) for s in personal_data.find(t)] for t in ("host 10.0.0.1", "at 10.0.0.1", "version 10.0.0.1", "id 123-45-6789", "ssn 123-45-6789")}
+    assert scored == {"host 10.0.0.1": [("ip", 0.9)], "at 10.0.0.1": [("ip", 0.6)], "version 10.0.0.1": [("ip", 0.1)], "id 123-45-6789": [], "ssn 123-45-6789": [("ssn", 0.6)]}
+    kept = spark.createDataFrame([(k, t) for k, t in enumerate(scored)], "doc_id long, text string")
+    assert [r.text for r in personal_data.redacted(kept).orderBy("doc_id").collect()] == ["host <IP>", "at <IP>", "version 10.0.0.1", "id 123-45-6789", "ssn <SSN>"]
+    assert [r.scores for r in personal_data.digests(kept).orderBy("doc_id").collect()] == ["0.90", "0.60", "0.10", "", "0.60"]
     personal_data.find("1" * 300_000 + "@" + "a." * 1000 + "@" * 1000 + "+1" + " " * 100_000)
 
 
@@ -202,9 +207,22 @@ def test_licenses(odd, none, spark):
     labels = lambda t: sorted({d.label for d in licenses.detect(joined(t))})
     assert labels("GNU Lesser General Public License, version 3") == ["lgpl-3"]
     assert labels("SPDX-License-Identifier: GPL-2-only") == ["gpl-2"] and labels("Creative Commons Attribution-ShareAlike 4.0") == ["cc-by-sa"]
-    assert len(licenses.RULES) > 300 and [r.priority for r in licenses.RULES] == sorted((r.priority for r in licenses.RULES), reverse=True)
-    for r in licenses.RULES:  # what opens a rule opens the gate
-        assert licenses._GATE.search(r.keyword) or any(x in r.pattern.pattern for x in (b"licen", b"spdx", b"warrant", b"redistrib", b"bsd", b"copyright", b"apache", b"commons", b"proprietary", b"public domain", b"gpl", b"mit no", b"psl", b"cc by", b"written", b"reserved", b"do what", b"permission", b"contributors", b"advertising", b"altered", b"remote network", b"neighboring", b"same terms", b"cc0", b"wtfpl", b"cecill", b"mulan")), r
+    assert len({r.pattern.pattern for r in licenses.RULES}) == len(licenses.RULES) > 350 and [r.priority for r in licenses.RULES] == sorted((r.priority for r in licenses.RULES), reverse=True)
+
+
+def test_license_detections_equal_brute_force():
+    """All rules without gate and keywords, and every pair of detections for containment."""
+    r = random.Random(4)
+    some = [t for block in (licenses.FAMILIES, licenses.NOTICES) for row in block.strip().split("\n") for t in phrases(row.split(" ; ")[1])[:4]]
+    some += ["spdx license identifier " + t for row in licenses.IDENTIFIERS.strip().split("\n") for t in phrases(row.split(" ; ")[1])]
+    for _ in range(300):
+        text = " ".join(r.choice(some) if r.random() < 0.7 else r.choice(["the", "x 2 0", "license", "under", "and", "version"]) for _ in range(r.randint(1, 8)))
+        joined = f" {text} ".encode()
+        found = [licenses.Detection(x.label, m.start(), m.end(), x.priority, x.score) for x in licenses.RULES for m in x.pattern.finditer(joined)]
+        inside = lambda a, b: b.start <= a.start and a.end <= b.end and b.priority >= a.priority
+        kept = [a for k, a in enumerate(found) if not any(inside(a, b) and ((b.start, b.end, b.priority) != (a.start, a.end, a.priority) or n < k) for n, b in enumerate(found) if n != k)]
+        assert sorted(licenses.detect(joined)) == sorted(kept), text
+        assert licenses._GATE.search(text.encode()) or not found, text
 
 
 def test_ibans_before_upper_case_words():
@@ -250,6 +268,7 @@ def phrases(pattern):
 
 def test_every_license_alternative_is_found_alone(spark):
     rows = [(label, p) for block in (licenses.FAMILIES, licenses.NOTICES) for row in block.strip().split("\n") for label, p in [(row.split(" ; ")[0], row.split(" ; ")[-1])]]
+    rows += [(row.split(" ; ")[0], "spdx license identifier " + row.split(" ; ")[1]) for row in licenses.IDENTIFIERS.strip().split("\n")]
     want = [(k, f"zz {t.upper()} zz", label) for k, (label, t) in enumerate((label, t) for label, p in rows for t in phrases(p))]
     assert len(want) > 400 and len({label for label, _ in rows} - {label for *_, label in want}) == 0
     got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(spark.createDataFrame([w[:2] for w in want], "doc_id long, text string")).collect()}
@@ -266,6 +285,9 @@ def test_ogg(odd, none):
         payload = ogg.pad(rng.randbytes(n))
         stored = ogg.write(payload)
         assert len(payload) % 64 == 0 and payload and ogg.payload_of(ogg.read(stored))[0] == payload
+        # each packet begins where the one before it ends, and holds its own samples
+        times = ogg.payload_of(ogg.read(stored))[1]
+        assert times == [(i / ogg.RATE, min(i + ogg.PACKET, len(payload)) / ogg.RATE) for i in range(0, len(payload), ogg.PACKET)]
         for at in {0, 26, len(stored) // 2, len(stored) - 1}:
             with pytest.raises(ogg.Damaged):
                 bad = bytearray(stored)
@@ -286,8 +308,26 @@ def test_ogg(odd, none):
         payload = ogg.pad((t or "").encode())
         r = got[d]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((t or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        x = [v - 128 for v in payload]
+        loud = max(range(0, len(x), ogg.PACKET), key=lambda i: (sum(v * v for v in x[i : i + ogg.PACKET]) / len(x[i : i + ogg.PACKET]), -i))
+        assert r.error is None and r.feature.endswith(f";packets={-(-len(x) // ogg.PACKET)};loudest={loud / ogg.RATE:.6f}")
     assert rows(ogg.from_ogg(ogg.to_ogg(none))) == []
 
 
+def test_ogg_null_and_damaged_media(spark):
+    good = ogg.write(ogg.pad(b"abc"))
+    # a wrong position under a right checksum: the last page of the sound stream says one sample more
+    at = good.rindex(b"OggS")
+    moved = bytearray(good[at:])
+    moved[6:14] = struct.pack("<q", 65)
+    moved[22:26] = bytes(4)
+    moved[22:26] = ogg.page_crc(bytes(moved)).to_bytes(4, "little")
+    media = [(1, good), (2, None), (3, good[:-1]), (4, b""), (5, b"OggS"), (6, good[:40] + b"x" + good[41:]), (7, good[:at] + bytes(moved)), (8, good)]
+    got = {r.doc_id: r for r in ogg.from_ogg(spark.createDataFrame([(d, 3, m) for d, m in media], "doc_id long, n_bytes long, media binary").coalesce(1)).collect()}
+    assert len(got) == len(media) and got[1][1:] == got[8][1:] and got[1].error is None and got[1].payload_bytes == 64
+    assert got[2].error is None and got[2].media_bytes is None and all(got[d].error and got[d].payload_sha256 is None and got[d].media_bytes is not None for d in (3, 4, 5, 6, 7))
+    assert "positions" in got[7].error
+
+
 def test_queries_are_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))

@@ -6,7 +6,9 @@ holds none of the stems, one of which every match contains. Where detections ove
 same or a higher priority is suppressed. The base phrases are found beside the rules at every place where their words
 stand consecutively, and their labels always stay.
 
-Null and empty texts have no words and no labels. Rows are independent; an empty table gives an empty result.
+Null and empty texts have no words and no labels. Rows are independent, so repeated rows give repeated results and an empty
+table an empty one; other columns, whatever their names, are ignored. Of detections of one stretch by rules of one priority
+the rule written first stays. Very long texts are scanned whole; memory follows the longest one.
 """
 
 from __future__ import annotations
@@ -113,6 +115,72 @@ odbl-1 ; open (?:data commons open )?database licen[sc]e(?: odbl)?
 odc-by-1 ; open data commons attribution licen[sc]e
 pddl-1 ; open data commons public domain dedication(?: and)? licen[sc]e
 ogl-3 ; open government licen[sc]e(?: (?:version |v )?3(?: 0)?)?
+bsd-2-clause-patent ; bsd 2 clause plus patent(?: licen[sc]e)?|bsd plus patent licen[sc]e
+bsd-3-clause-clear ; clear bsd licen[sc]e|bsd 3 clause clear
+x11 ; x11 licen[sc]e|mit x11 licen[sc]e
+ntp ; ntp licen[sc]e
+curl ; curl licen[sc]e
+icu ; icu licen[sc]e
+unicode ; unicode licen[sc]e(?: v3)?|unicode data files and software licen[sc]e
+w3c ; w3c software notice and licen[sc]e|w3c software and document (?:notice and )?licen[sc]e
+tcl ; tcl tk licen[sc]e
+hpnd ; historical permission notice and disclaimer
+beerware ; beer ?ware licen[sc]e
+json ; json licen[sc]e
+bouncy-castle ; bouncy castle licen[sc]e
+sleepycat ; sleepycat (?:public )?licen[sc]e
+nasa-1.3 ; nasa open source agreement(?: 1 3)?
+intel ; intel open source licen[sc]e
+lpl-1.02 ; lucent public licen[sc]e(?: (?:version |v )?1 02)?
+rpl-1.5 ; reciprocal public licen[sc]e(?: (?:version |v )?1 5)?
+spl-1 ; sun public licen[sc]e(?: (?:version |v )?1(?: 0)?)?
+sissl ; sun industry standards source licen[sc]e
+cua-opl-1 ; cua office public licen[sc]e
+nokia ; nokia open source licen[sc]e
+ms-lpl ; microsoft limited public licen[sc]e
+open-gaming ; open game licen[sc]e|open gaming licen[sc]e
+cdla-permissive ; community data licen[sc]e agreement permissive
+cdla-sharing ; community data licen[sc]e agreement sharing
+openrail ; (?:bigcode |creativeml |bigscience )?openrail(?: m)?(?: licen[sc]e)?
+llama ; llama [2-4](?: [0-9])? community licen[sc]e
+gemma ; gemma terms of use
+polyform-noncommercial ; polyform noncommercial licen[sc]e
+polyform-small-business ; polyform small business licen[sc]e
+commons-clause ; commons clause licen[sc]e condition
+hippocratic ; hippocratic licen[sc]e
+parity ; parity public licen[sc]e
+prosperity ; prosperity public licen[sc]e
+anti-996 ; anti 996 licen[sc]e
+eudatagrid ; eu datagrid software licen[sc]e
+zpl-2 ; zope public licen[sc]e(?: (?:version |v )?2 [01])?
+ijg ; independent jpeg group(?: s)? licen[sc]e
+freetype ; freetype (?:project )?licen[sc]e
+imagemagick ; imagemagick licen[sc]e
+libtiff ; libtiff licen[sc]e
+bzip2 ; bzip2(?: and libbzip2)? licen[sc]e
+info-zip ; info zip licen[sc]e
+naumen ; naumen public licen[sc]e
+oclc-2 ; oclc research public licen[sc]e
+vovida ; vovida software licen[sc]e
+watcom-1 ; sybase open watcom public licen[sc]e
+cnri ; cnri (?:python )?licen[sc]e
+entessa ; entessa public licen[sc]e
+fair ; fair licen[sc]e
+frameworx ; frameworx open licen[sc]e
+multics ; multics licen[sc]e
+miros ; miros licen[sc]e
+nposl-3 ; non profit open software licen[sc]e
+ogtsl ; open group test suite licen[sc]e
+simple-2 ; simple public licen[sc]e
+ucl-1 ; upstream compatibility licen[sc]e
+osgi ; osgi specification licen[sc]e
+etalab-2 ; etalab (?:open )?licen[sc]e|licence ouverte(?: open licence)?
+dl-de-by-2 ; data licence germany attribution|datenlizenz deutschland namensnennung
+cern-ohl-p-2 ; cern open hardware licen[sc]e(?: version 2)? permissive
+cern-ohl-s-2 ; cern open hardware licen[sc]e(?: version 2)? strongly reciprocal
+solderpad ; solderpad hardware licen[sc]e
+gust ; gust font licen[sc]e
+free-art ; free art licen[sc]e|licence art libre
 cc0 ; cc0(?: 1 0)?(?: universal)?
 cc0 ; creative commons (?:zero|cc0)(?: 1 0)?|creative commons public domain dedication
 cc-by-nc-nd ; cc by nc nd(?: [1-4] [05])?
@@ -152,6 +220,36 @@ mpl-2 ; this source code form is subject to the terms of the mozilla public lice
 zlib ; altered source versions must be plainly marked as such
 bsl-1 ; permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation
 unlicense ; this is free and unencumbered software released into the public domain
+gpl-3 ; either version 3 of the licen[sc]e or at your option any later version
+gpl-2 ; either version 2 of the licen[sc]e or at your option any later version
+lgpl-2.1 ; either version 2 1 of the licen[sc]e or at your option any later version
+gpl ; you should have received a copy of the gnu general public licen[sc]e
+lgpl ; you should have received a copy of the gnu lesser general public licen[sc]e
+agpl-3 ; you should have received a copy of the gnu affero general public licen[sc]e
+gpl ; everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document
+gpl ; under the terms of the (?:gnu )?gpl
+mit ; the above copyright notice and this permission notice shall be included in all copies
+apache-2 ; unless required by applicable law or agreed to in writing software distributed under the licen[sc]e
+epl-2 ; accompanying materials are made available under the terms of the eclipse public licen[sc]e (?:v )?2 0
+epl-1 ; accompanying materials are made available under the terms of the eclipse public licen[sc]e v1 0
+cddl-1.0 ; subject to the terms of the common development and distribution licen[sc]e
+perl ; the same terms as the perl 5 programming language
+cc-by ; this work is licen[sc]ed under a creative commons attribution [1-4] [05] international licen[sc]e
+ofl-1.1 ; this font software is licen[sc]ed under the sil open font licen[sc]e
+bsl-1 ; distributed under the boost software licen[sc]e
+zlib ; the origin of this software must not be misrepresented
+zlib ; this notice may not be removed or altered from any source distribution
+unlicense ; anyone is free to copy modify publish use compile sell or distribute this software
+bsd ; redistributions of source code must retain the above copyright notice
+bsd ; redistributions in binary form must reproduce the above copyright notice
+isc ; the author disclaims all warranties with regard to this software
+postgresql ; permission to use copy modify and distribute this software and its documentation for any purpose without fee
+hpnd ; permission to use copy modify distribute and sell this software and its documentation for any purpose is hereby granted without fee
+wtfpl ; everyone is permitted to copy and distribute verbatim or modified copies of this licen[sc]e document
+json ; the software shall be used for good not evil
+beerware ; as long as you retain this notice you can do whatever you want with this stuff
+cc0 ; to the extent possible under law the (?:person|author) who associated cc0
+public-domain ; this (?:work|software|file|code) is in the public domain
 public-domain ; (?:released|dedicated|placed) (?:in|into|to) the public domain
 wtfpl ; you just do what the f[a-z]* you want to
 cc0 ; waived all copyright and related or neighboring rights
@@ -159,12 +257,129 @@ ofl-1.1 ; with reserved font name
 proprietary ; all rights reserved
 proprietary ; proprietary and confidential|confidential and proprietary
 proprietary ; without (?:the )?(?:prior )?written (?:permission|consent)
+proprietary ; unauthorized copying of this file via any medium is strictly prohibited
+proprietary ; no part of this (?:publication|document|book|work) may be reproduced
+proprietary ; licen[sc]ed material property of
+no-warranty ; in the hope that it will be useful but without any warranty
+no-warranty ; without warranties or conditions of any kind either express or implied
 no-warranty ; provided as is without (?:any )?warrant(?:y|ies)
 copyright ; copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?
 """
 
-#: Identifiers as machines write them after a tag; what a label adds to its family's own spelling.
-_SUFFIXES = ("", " only", " or later")
+# label ; its identifiers after a machine-readable tag, as words
+IDENTIFIERS = r"""
+mit ; mit
+mit-0 ; mit 0
+bsd-0-clause ; 0bsd
+bsd-2-clause ; bsd 2 clause
+bsd-2-clause-patent ; bsd 2 clause patent
+bsd-3-clause ; bsd 3 clause
+bsd-3-clause-clear ; bsd 3 clause clear
+bsd-4-clause ; bsd 4 clause
+apache-2 ; apache 2(?: 0)?
+apache-1.1 ; apache 1 1
+apache-1.0 ; apache 1 0
+gpl-3 ; gpl 3(?: 0)?(?: only| or later)?
+gpl-2 ; gpl 2(?: 0)?(?: only| or later)?
+gpl-1 ; gpl 1(?: 0)?(?: only| or later)?
+lgpl-3 ; lgpl 3(?: 0)?(?: only| or later)?
+lgpl-2.1 ; lgpl 2 1(?: only| or later)?
+lgpl-2 ; lgpl 2 0(?: only| or later)?
+agpl-3 ; agpl 3(?: 0)?(?: only| or later)?
+agpl-1 ; agpl 1(?: 0)?(?: only| or later)?
+gfdl-1.3 ; gfdl 1 3(?: no invariants)?(?: only| or later)?
+gfdl-1.2 ; gfdl 1 2(?: no invariants)?(?: only| or later)?
+gfdl-1.1 ; gfdl 1 1(?: no invariants)?(?: only| or later)?
+isc ; isc
+mpl-2 ; mpl 2(?: 0)?(?: no copyleft exception)?
+mpl-1.1 ; mpl 1 1
+mpl-1.0 ; mpl 1 0
+epl-2 ; epl 2(?: 0)?
+epl-1 ; epl 1(?: 0)?
+cddl-1.1 ; cddl 1 1
+cddl-1.0 ; cddl 1 0
+cpl-1 ; cpl 1 0
+cpal-1 ; cpal 1 0
+eupl-1.2 ; eupl 1 2
+eupl-1.1 ; eupl 1 1
+artistic-2 ; artistic 2(?: 0)?
+artistic-1 ; artistic 1 0(?: perl| cl8)?
+bsl-1 ; bsl 1(?: 0)?
+busl-1.1 ; busl 1 1
+sspl-1 ; sspl 1(?: 0)?
+elastic-2 ; elastic 2(?: 0)?
+zlib ; zlib(?: acknowledgement)?
+libpng ; libpng(?: 2 0)?
+openssl ; openssl
+psf-2 ; psf 2(?: 0)?
+psf-2 ; python 2 0
+ruby ; ruby
+php-3 ; php 3 0(?:1)?
+ofl-1.1 ; ofl 1 1(?: rfn| no rfn)?
+ms-pl ; ms pl
+ms-rl ; ms rl
+ncsa ; ncsa
+osl-3 ; osl 3(?: 0)?
+afl-3 ; afl 3(?: 0)?
+ecl-2 ; ecl 2(?: 0)?
+upl-1 ; upl 1(?: 0)?
+vim ; vim
+wtfpl ; wtfpl
+unlicense ; unlicense
+postgresql ; postgresql
+qpl-1 ; qpl 1(?: 0)?
+lppl-1.3 ; lppl 1 3[ac]
+ipl-1 ; ipl 1(?: 0)?
+apsl-2 ; apsl 2(?: 0)?
+cecill-2.1 ; cecill 2 1
+cecill-b ; cecill b
+cecill-c ; cecill c
+mulan-2 ; mulanpsl 2(?: 0)?
+odbl-1 ; odbl 1(?: 0)?
+odc-by-1 ; odc by 1(?: 0)?
+pddl-1 ; pddl 1(?: 0)?
+ogl-3 ; ogl uk 3(?: 0)?
+cc0 ; cc0 1 0
+cc-by ; cc by [1-4] [05]
+cc-by-sa ; cc by sa [1-4] [05]
+cc-by-nc ; cc by nc [1-4] [05]
+cc-by-nd ; cc by nd [1-4] [05]
+cc-by-nc-sa ; cc by nc sa [1-4] [05]
+cc-by-nc-nd ; cc by nc nd [1-4] [05]
+x11 ; x11
+ntp ; ntp
+curl ; curl
+icu ; icu
+unicode ; unicode (?:3 0|dfs 201[56]|tou)
+w3c ; w3c(?: 20150513)?
+tcl ; tcl
+hpnd ; hpnd
+beerware ; beerware
+json ; json
+sleepycat ; sleepycat
+nasa-1.3 ; nasa 1 3
+rpl-1.5 ; rpl 1 5
+spl-1 ; spl 1 0
+sissl ; sissl
+cdla-permissive ; cdla permissive [12] 0
+cdla-sharing ; cdla sharing 1 0
+polyform-noncommercial ; polyform noncommercial 1 0 0
+polyform-small-business ; polyform small business 1 0 0
+zpl-2 ; zpl 2 [01]
+ijg ; ijg
+freetype ; ftl
+imagemagick ; imagemagick
+libtiff ; libtiff
+bzip2 ; bzip2 1 0 6
+info-zip ; info zip
+nposl-3 ; nposl 3 0
+etalab-2 ; etalab 2 0
+cern-ohl-p-2 ; cern ohl p 2 0
+cern-ohl-s-2 ; cern ohl s 2 0
+"""
+#: Priorities: identifiers after a tag, sentences of a license, names with a version, names without, hints that name none.
+TAGGED, SENTENCE, VERSIONED, NAMED, HINT = 40, 30, 20, 15, 5
+_HINTS = ("copyright", "no-warranty", "proprietary")
 
 
 def alternatives(pattern: str) -> list[str]:
@@ -195,21 +410,21 @@ def rules() -> list[Rule]:
     out = []
     lines = lambda block: [(label, p) for row in block.strip().split("\n") for label, _, names in [row.partition(" ; ")] for p in alternatives(names)]
     whole = lambda p: re.compile(rb" (?:" + p.encode() + rb")(?= )")
-    for label in dict.fromkeys(label for label, _ in lines(FAMILIES)):
-        words = re.sub(r"[-.]", " ", label)
-        for k, suffix in enumerate(_SUFFIXES):
-            out.append(Rule(label, 40 + k, b"spdx licen", whole(f"spdx licen[sc]e identifier {words}(?: 0)?{suffix}"), 1.0))
+    for label, pattern in lines(IDENTIFIERS):
+        out.append(Rule(label, TAGGED, b"identifier ", whole(f"spdx licen[sc]e identifier {pattern}"), 1.0))
     for label, pattern in lines(NOTICES):
-        out.append(Rule(label, 30 if label not in ("copyright", "no-warranty", "proprietary") else 5, keyword_of(pattern), whole(pattern), 0.95 if label not in ("copyright", "no-warranty", "proprietary") else 0.4))
+        hint = label in _HINTS
+        out.append(Rule(label, HINT if hint else SENTENCE, keyword_of(pattern), whole(pattern), 0.4 if hint else 0.95))
     for label, pattern in lines(FAMILIES):
         versioned = bool(re.search(r"[0-9]", label)) or label.startswith("cc")
-        out.append(Rule(label, 20 if versioned else 15, keyword_of(pattern), whole(f"(?:released |licen[sc]ed |distributed )?(?:under )?(?:the )?(?:{pattern})"), 0.9 if versioned else 0.8))
+        lead = "(?:released |licen[sc]ed |distributed )?(?:under )?(?:the )?"
+        out.append(Rule(label, VERSIONED if versioned else NAMED, keyword_of(pattern), whole(f"{lead}(?:{pattern})"), 0.9 if versioned else 0.8))
     return sorted(out, key=lambda r: -r.priority)
 
 
 RULES = rules()
 #: A text that no stem occurs in matches no rule and no base phrase. Blanks stand for any gap between words.
-STEMS = ("licen", "copyright", "spdx", "wtfpl", "cc0", "mulan", "cecill", "creativecommons", "proprietary", "permission", "permitted", "commons", "same terms", "public domain", "written", "reserved", "warrant", "neighboring", "compliance", "altered source", "advertising", "redistribut", "remote network", "gpl", "do what", "cc by", "apache", "psl", "contributors", "bsd", "mit no")
+STEMS = ("licen", "copyright", "spdx", "wtfpl", "cc0", "mulan", "cecill", "creativecommons", "proprietary", "permission", "permitted", "commons", "same terms", "public domain", "written", "reserved", "warrant", "neighboring", "compliance", "altered source", "advertising", "redistribut", "remote network", "gpl", "do what", "cc by", "apache", "psl", "contributors", "bsd", "mit no", "historical", "nasa open", "openrail", "gemma terms", "misrepresented", "source distribution", "anyone is free", "disclaims", "good not evil", "retain", "unauthorized copying", "no part of this", "hope that it", "associated cc0", "datenlizenz")
 _GATE = re.compile("|".join(re.escape(s).replace(r"\ ", r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+") for s in STEMS).encode())
 
 
