@@ -16,7 +16,9 @@ Two documents link when percent * |union| <= 100 * |intersection| of their sets
 
 Documents: null and empty texts, and texts without words, have an empty set and link with nothing. Texts with fewer words
 than n have their whole sequence as one n-gram. Repeated rows are copies of each other. component_id is the smallest
-doc_id that is reached; where no row of a component has a doc_id it is null. An empty table gives an empty result.
+doc_id that is reached; where no row of a component has a doc_id it is null. An empty table gives an empty result. Very long
+texts are compared whole; memory follows the longest one. Other columns, whatever their names, are ignored by join() and
+stay in one_of_each(); of rows that agree in all that chooses one, any one stays, and they are alike in doc_id and text.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ The trees are fitted on at most SAMPLE distinct labelled texts of each language,
 SAMPLE_BYTES only fill what shorter ones leave free, with their first SAMPLE_BYTES. Which rows may be learnt from is a
 parameter. Texts that are null or have no letter are `und` with score
 0. score is the winner's share of 2^-(bits), tempered by the length. Without any labelled row everything is `und`.
-Repeated rows give repeated results, an empty table an empty one; A-Z count as a-z.
+Repeated rows give repeated results, an empty table an empty one; A-Z count as a-z. Of equal code lengths the language first
+in order wins. Very long texts are scored whole; memory follows the longest one. Other columns, whatever their names, are
+ignored by predict() and stay in kept().
 """
 
 from __future__ import annotations

@@ -3,16 +3,19 @@
 Every source gets a share of the budget (all words) by its weight; a target stops at `most` times its source's size and
 what it can't take is shared again by weight among the others, until no target is above. Documents of a source are put
 in an order by hash; each gets a virtual finish time, the words of its source up to and with it over the source's target.
-A source that is asked for more than it has goes round again, at most `most` times. All passes of all documents are then
-sorted by finish time over all sources, and the mix is the longest beginning that stays within the budget.
+A source that is asked for more than it has goes round again, at most `most` times. The mix is the longest beginning, in
+order of finish time over all passes of all sources, that stays within the budget: what a global sort by finish time and a
+cut at the budget would give, and tests hold it against that. No row is moved for it, since only the place of the cut is
+needed.
 
 No window ever holds a whole source: running sums are taken in hash ranges of bounded expected size and put together from
-the ranges' totals. The end of the mix is found by totals of fixed ranges of finish time, then of finer ranges within the
-one where the budget ends, then row by row in the last. Only these few numbers reach the driver.
+the ranges' totals. The cut is found range by range: by totals of fixed ranges of finish time, then of finer ranges within
+the one where the budget ends, then in order, row by row, in the last. Only these few numbers reach the driver.
 
 Null and empty texts have size 0 and are taken 0 words. Null is a source of its own, the last. Repeated rows are
-documents of their own; a null doc_id is kept. If all sizes are 0, all targets are 0. An empty table gives an empty
-result.
+documents of their own; a null doc_id is kept. Equal finish times go by source, pass, hash and doc_id; rows that agree in all
+of them are taken together or not at all. If all sizes are 0, all targets are 0. An empty table gives an empty result. Very
+long texts are counted whole. Other columns, whatever their names, are ignored by plan() and stay in mixed().
 """
 
 from __future__ import annotations

@@ -3,10 +3,13 @@
 Writing: each payload becomes one logical stream of 8-bit unsigned PCM (a header packet, then packets of samples), with a
 second logical stream of text comments interleaved, cut into pages with lacing values and page checksums. Reading: every
 page's checksum is verified, packets are reassembled from lacing values across pages, logical streams are told apart by
-serial number, and timestamps follow from granule positions (samples so far / rate).
+serial number, and the start and end of every packet follow from granule positions: a page's position is the end of the
+last packet that ends in it, and the packets before it end their own samples earlier.
 
-Null and empty texts have a payload of 64 zero bytes. Rows are independent, so repeated rows give repeated results and an
-empty table an empty one. Long texts take as many pages as they need; memory follows the longest text.
+Null and empty texts have a payload of 64 zero bytes. A null medium gives nulls, a damaged one nulls and what is wrong with
+it; neither stops the others. Rows are independent, so repeated rows give repeated results and an empty table an empty
+one; other columns, whatever their names, are ignored. Of the loudest packets the first is named. Very long texts take as
+many pages as they need; memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from ._text import column_of, raw, slices, texts
 BLOCK = 64
 RATE = 8000
 PACKET = 4000
+#: Rows that are read at once.
+ROWS = 256
 CONTINUED, FIRST, LAST = 1, 2, 4
 _REVERSED = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
 
@@ -73,10 +78,10 @@ def pages(packets: list[tuple[bytes, int]], serial: int) -> list[bytes]:
 
 @dataclass
 class Stream:
-    """A logical stream read back: packets, and the granule position at the end of each page that ends a packet."""
+    """A logical stream read back: packets, and of each page that ends one, how many have ended and its granule position."""
 
     packets: list[bytes] = field(default_factory=list)
-    granules: list[int] = field(default_factory=list)
+    granules: list[tuple[int, int]] = field(default_factory=list)
     ended: bool = False
 
 
@@ -107,18 +112,20 @@ def read(data: bytes) -> dict[int, Stream]:
         numbers[serial] = number + 1
         at = i + 27 + n
         # a packet ends at the first lacing value below 255
-        begin = at
+        begin, ended = at, False
         for size in lacing:
             at += size
             if size < 255:
                 open_part.append(data[begin:at])
                 s.packets.append(b"".join(open_part))
                 open_part.clear()
-                begin = at
+                begin, ended = at, True
         if at > begin or lacing and lacing[-1] == 255:
             open_part.append(data[begin:at])
+        if ended != (granule >= 0):
+            raise Damaged(f"page at byte {i} has a position without a packet's end, or none with one")
         if granule >= 0:
-            s.granules.append(granule)
+            s.granules.append((len(s.packets), granule))
         s.ended = bool(flags & LAST)
         i = end
     if any(parts.values()) or not all(s.ended for s in streams.values()):
@@ -141,25 +148,42 @@ def write(payload: bytes) -> bytes:
     return b"".join([a[0], b[0], b[1], *a[1:]])
 
 
-def payload_of(streams: dict[int, Stream]) -> tuple[bytes, float]:
-    """The samples of the sound stream among the streams read, and their seconds by the last granule position."""
+def packet_times(stream: Stream, first: int = 1) -> list[tuple[int, int]]:
+    """Samples at which each packet from number `first` on begins and ends, by the granule positions of the pages."""
+    out: list[tuple[int, int]] = []
+    done = 0
+    for count, granule in stream.granules:
+        end, own = granule, []
+        for p in reversed(stream.packets[max(done, first) : count]):
+            own.append((end - len(p), end))
+            end -= len(p)
+        out += reversed(own)
+        done = count
+    if done != len(stream.packets) or any(a[1] != b[0] for a, b in zip([(0, 0), *out], out, strict=False)):
+        raise Damaged("granule positions don't fit the packets")
+    return out
+
+
+def payload_of(streams: dict[int, Stream]) -> tuple[bytes, list[tuple[float, float]]]:
+    """The samples of the sound stream among the streams read, and the seconds at which each packet begins and ends."""
     sound = [s for s in streams.values() if s.packets and s.packets[0][:8] == b"PCM     "]
     if len(sound) != 1:
         raise Damaged(f"{len(sound)} sound streams")
-    rate = struct.unpack_from(">I", sound[0].packets[0], 16)[0]
-    data = b"".join(sound[0].packets[1:])
-    if sound[0].granules[-1] != len(data):
-        raise Damaged("the last granule position isn't the number of samples")
-    return data, sound[0].granules[-1] / rate
+    if len(sound[0].packets[0]) < 20 or not (rate := struct.unpack_from(">I", sound[0].packets[0], 16)[0]):
+        raise Damaged("no rate in the header")
+    return b"".join(sound[0].packets[1:]), [(a / rate, b / rate) for a, b in packet_times(sound[0])]
 
 
-def feature(samples: bytes, seconds: float) -> str:
-    """Seconds, mean, root mean square about the middle, and crossings of the middle."""
+def feature(samples: bytes, times: list[tuple[float, float]]) -> str:
+    """Seconds, mean, root mean square about the middle, crossings of the middle, packets, and when the loudest begins."""
     x = np.frombuffer(samples, np.uint8)
     n = np.bincount(x, minlength=256)
     v = np.arange(256) - 128
     high = x >= 128
-    return f"s={seconds:.6f};mean={float(n @ v) / len(x):.6f};rms={(float(n @ (v * v)) / len(x)) ** 0.5:.6f};cross={int((high[1:] != high[:-1]).sum())}"
+    power = np.concatenate([[0], np.cumsum((v * v)[x])])
+    cut = np.minimum(np.arange(len(times) + 1) * PACKET, len(x))
+    loud = int(np.argmax(np.diff(power[cut]) / np.diff(cut)))
+    return f"s={times[-1][1]:.6f};mean={float(n @ v) / len(x):.6f};rms={(float(n @ (v * v)) / len(x)) ** 0.5:.6f};cross={int((high[1:] != high[:-1]).sum())};packets={len(times)};loudest={times[loud][0]:.6f}"
 
 
 def to_ogg(docs: DataFrame, column: str = "text") -> DataFrame:
@@ -176,19 +200,29 @@ def to_ogg(docs: DataFrame, column: str = "text") -> DataFrame:
 
 
 def from_ogg(media: DataFrame) -> DataFrame:
-    """payload, its digests and the media's, and the feature of each row of media(doc_id, n_bytes, media)."""
+    """Digests of payload and container, a feature, and what is wrong, of each row of media(doc_id, n_bytes, media)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judged(stored: bytes | None) -> tuple:
+        if stored is None:
+            return (None,) * 7
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        for b in batches:
-            rows = []
-            for stored in (x.as_buffer().to_pybytes() for x in column_of(b, "media")):
-                payload, seconds = payload_of(read(stored))
-                rows.append((len(payload), sha(payload), zlib.crc32(payload[-BLOCK:]), len(stored), sha(stored), feature(payload, seconds)))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), column_of(b, "n_bytes"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
+        try:
+            payload, times = payload_of(read(stored))
+            if not payload:
+                raise Damaged("no samples")
+        except Damaged as e:
+            return None, None, None, len(stored), sha(stored), None, str(e)
+        return len(payload), sha(payload), zlib.crc32(payload[-BLOCK:]), len(stored), sha(stored), feature(payload, times), None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+        names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "error"]
+        for whole in batches:
+            for i in range(0, whole.num_rows, ROWS):
+                b = whole.slice(i, ROWS)
+                rows = [judged(x.as_py()) for x in column_of(b, "media")]
+                yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), column_of(b, "n_bytes"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
 
     kind = media.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    out = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, out)

@@ -1,12 +1,17 @@
-"""Personal data: patterns propose spans, checksums confirm them, context words move the score.
+"""Personal data: patterns propose spans, checksums confirm them, context words move the score, and the score decides.
 
 Base kinds are found leftmost and without overlap within a kind: email, ip, card (Luhn) and phone. The method adds IBANs
-(mod-97 over the country's length), which hold without context, and social security numbers, which need a context word nearby, since their digits
-alone say little. Nothing takes a base span away. Every span carries a score from 0 to 1: a start value for its kind,
-raised by confirmed checksums and by context words of its kind within CONTEXT characters.
-
-Null and empty texts have no spans. Rows are independent; an empty table gives an empty result. Matching is linear in the
-text, long runs included.
+(mod-97 over the country's length) and social security numbers. Every span carries a score from 0 to 1: a start value for
+its kind, raised by a confirmed checksum and by words of its kind within CONTEXT characters, lowered by words just before
+it that say that it is something else, such as a version. Spans that the method adds need a score of LEAST, which a social
+security number has only with a word of its kind nearby; base spans are reported whatever their score, but only those of
+LEAST are redacted.
+
+Null and empty texts have no spans. Rows are independent, so repeated rows give repeated results and an empty table an
+empty one; other columns, whatever their names, are ignored by scan() and digests() and stay in redacted(). Spans of
+different kinds may overlap: all are reported, and a stretch is redacted as the kind of its first span, of spans that
+start together the longest, then in the order of KINDS. Matching is linear in the text, long runs included, and very long
+texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -31,7 +36,17 @@ WORDS = {
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social security", "social-security"),
 }
+#: Words that say, just before a number, that it is something else, and how far before it they are looked for.
+AGAINST = {
+    "ip": ("version", "release", "firmware", "build", "section"),
+    "card": ("tracking", "serial", "isbn"),
+    "phone": ("isbn", "serial"),
+}
+BEFORE = 16
+#: The score that a span of the method's own kinds needs, and any span that is redacted.
+LEAST = 0.5
 START = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.9, "ssn": 0.3}
+_FAR = {k: re.compile(r"\b(?:" + "|".join(v) + r")\b", re.I) for k, v in AGAINST.items()}
 _NEAR = {k: re.compile(r"\b(?:" + "|".join(map(re.escape, v)) + r")\b", re.I) for k, v in WORDS.items()}
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -130,9 +145,10 @@ def find(text: str) -> list[Span]:
     for kind in KINDS:
         for a, b in found[kind]:
             near = bool(_NEAR[kind].search(text[max(0, a - CONTEXT) : a]) or _NEAR[kind].search(text[b : b + CONTEXT]))
-            score = min(1.0, START[kind] + 0.2 * (kind in ("card", "iban")) + 0.3 * near)
-            if kind != "ssn" or near:
-                out.append(Span(kind, a, b, round(score, 3)))
+            far = kind in _FAR and bool(_FAR[kind].search(text[max(0, a - BEFORE) : a]))
+            score = round(min(1.0, max(0.0, START[kind] + 0.2 * (kind in ("card", "iban")) + 0.3 * near - 0.5 * far)), 3)
+            if kind in BASE or score >= LEAST:
+                out.append(Span(kind, a, b, score))
     return out
 
 
@@ -160,7 +176,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """Counts and digests of scan(): base kinds alone, and all spans as kind:start:end."""
+    """Counts and digests of scan(): base kinds alone, all spans as kind:start:end, and their scores in the same order."""
     from pyspark.sql import functions as F
 
     s = scan(docs)
@@ -168,10 +184,10 @@ def digests(docs: DataFrame) -> DataFrame:
     text = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     of = lambda kind: F.filter("spans", lambda x: x["kind"] == kind)
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return s.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+    return s.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), F.array_join(F.transform("spans", lambda x: F.format_number(x["score"], 2)), ",").alias("scores"))
 
 
-def redacted(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def redacted(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """docs with spans of at least that score redacted in text; n_chars, where present, follows. Other columns stay."""
     names = docs.columns
 
@@ -186,5 +202,3 @@ def redacted(docs: DataFrame, least: float = 0.5) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
     return docs.mapInArrow(run, docs.schema)
-
-

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -12,6 +11,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """The place of a vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan
 
@@ -43,9 +49,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ._graph import written
     from .ogg import from_ogg, to_ogg
 
-    return from_ogg(to_ogg(table(spark, sf_dir, "documents")))
+    return from_ogg(written(to_ogg(table(spark, sf_dir, "documents"))))  # stored, then read back
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,13 +71,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import round_trip
 
-    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
-    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
