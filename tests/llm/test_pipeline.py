@@ -94,3 +94,27 @@ def test_run_equals_brute_force(spark, docs, tmp_path):
     times = collections.Counter(d for d, *_ in want)
     assert max(times.values()) > 1 and None in times and len(times) > 20
     assert collections.Counter(d for d, *_ in got) == times and got == want
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and very long texts, repeated rows and null ids, and extra columns with names that the stages use."""
+    extra = ["row", "v", "u", "among", "h", "size", "passes", "finish", "part", "label", "spans", "known"]
+    texts = ["one two three four five six seven", None, "", "mail joe@x.org now and then and again", "long words here " * 20_000 + "end", "7 7 7", "one two three four five six seven"]
+    rows = [(d, t, lang, s, None if t is None else len(t), *[f"{c}{k}" for c in extra]) for k, (d, t, lang, s) in enumerate((d, t, lang, s) for d, lang in ((1, "en"), (None, None)) for t in texts for s in ("a", None))]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    whole = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        got = out.collect()
+        assert out.schema == docs.schema and got, name
+        if name == "personal_data":
+            assert len(got) == docs.count() and {tuple(r)[5:] for r in got} == {r[5:] for r in whole}
+            assert all(r.text is None or "joe@" not in r.text for r in got)
+        else:
+            assert {tuple(r) for r in got} <= whole
+        if name == "language":
+            assert len(got) == sum(1 for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
+        if name == "near_duplicates":
+            kept = [r for r in got if r.text and r.text.split()]
+            assert len(kept) == 4 and all(r.doc_id == 1 for r in kept) and len(got) == 4 + sum(1 for r in docs.collect() if not r.text)
+    assert corpus_pipeline.encode(spark, docs, "").count() == docs.count()
