@@ -6,7 +6,9 @@ never the partition. A null text counts as an empty text.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,13 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8, int(at[-1] - at[0]), int(at[0])), at - at[0]
 
 
+def release() -> None:
+    """Gives memory that is free back to the machine: a worker waits for its next task with what it needs."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each piece holds about `most` bytes of text at most, or one row."""
     for batch in batches:
@@ -50,6 +59,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             j = min(j, i + 50_000)
             yield batch.slice(i, j - i)
             i = j
+    release()
 
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -32,6 +32,8 @@ from ._text import column_of, distinct, raw, slices, texts
 
 #: Distinct chunks a worker keeps.
 DICTIONARY = 100_000
+#: Bytes of text that are worked on at once, unless a single text is longer; alignments take some 50 bytes for each.
+STEP = 1 << 18
 SPACE = "▁"
 MARK = SPACE.encode()
 BYTE, USER_DEFINED, CONTROL, UNKNOWN = 6, 4, 3, 2
@@ -114,9 +116,8 @@ class Aligned(NamedTuple):
 class Pieces(NamedTuple):
     """Distinct chunks, and where the chunks of many texts are among them."""
 
-    ids: pa.Array  # list of ids of each distinct chunk
-    names: pa.Array  # the same, as text
-    sizes: pa.Array  # normalised bytes of each piece
+    names: pa.Array  # ids of each distinct chunk, as text
+    sizes: pa.Array  # normalised bytes of each of its pieces
     decoded: pa.Array  # bytes
     where: np.ndarray
     bounds: np.ndarray  # first chunk of each text
@@ -214,11 +215,12 @@ class Codec:
             done = j
         return np.concatenate(parts), np.concatenate(begins), np.concatenate(finishes), at + np.cumsum(grown)[at]
 
-    def _chunk(self, text: str, ids: list[int]) -> tuple[list[int], str, list[int], bytes]:
+    def _chunk(self, text: str, ids: list[int]) -> tuple[str, bytes, bytes]:
+        """Ids as text, the pieces' sizes as 32-bit numbers, decoded bytes: small, as workers keep many."""
         sizes = [self.size_of[i] for i in ids]
         if -1 in sizes:  # unknown characters in a row are one piece
             sizes = [n if n >= 0 else len(t.encode()) for n, t in zip(sizes, self.lib.encode(text, out_type=str), strict=True)]
-        return ids, ",".join(map(str, ids)), sizes, b"".join([self.bytes_of[i] for i in ids])
+        return ",".join(map(str, ids)), struct.pack(f"<{len(sizes)}i", *sizes), b"".join([self.bytes_of[i] for i in ids])
 
     def chunks(self, normal: Aligned) -> Pieces:
         """The chunks of normalised texts: each distinct one is encoded once, while the dictionary holds it."""
@@ -239,10 +241,10 @@ class Codec:
         new = [t for t in some if t not in known]
         if new:
             known.update(zip(new, map(self._chunk, new, self.lib.encode(new, num_threads=1)), strict=True))
-        made = [known[t] for t in some]
-        kind = pa.large_list(pa.int32())
-        columns = [pa.array([m[k] for m in made], t) for k, t in enumerate((kind, pa.string(), kind, pa.binary()))]
-        return Pieces(*columns, where, np.searchsorted(starts, at))
+        names, sizes, decoded = zip(*(known[t] for t in some), strict=True) if some else ((), (), ())
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in sizes], dtype=np.int64)]) // 4
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(sizes), "<i4")))
+        return Pieces(pa.array(names, pa.string()), lists, pa.array(decoded, pa.binary()), where, np.searchsorted(starts, at))
 
     def spans(self, normal: Aligned, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Source bytes at which each piece begins and ends in its text, and the first piece of each text."""
@@ -281,7 +283,8 @@ class Codec:
         """Ids of all pieces, their spans, and the first piece of each text, of a large_string column."""
         normal = self.normalise(column)
         pieces = self.chunks(normal)
-        return pieces.ids.take(pa.array(pieces.where)).flatten(), *self.spans(normal, pieces)
+        ids = pc.list_flatten(pc.split_pattern(pieces.names.take(pa.array(pieces.where)), ",")).cast(pa.int32())
+        return ids, *self.spans(normal, pieces)
 
     def decode(self, ids: list[int]) -> str:
         return self._decoded(b"".join([self.bytes_of[i] for i in ids]))
@@ -298,7 +301,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for b in slices(batches):
+        for b in slices(batches, most=STEP):
             ids, begins, ends, first = own.encode(texts(column_of(b, "text")))
             lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, t)) for x, t in ((ids, pa.int32()), (begins, pa.int64()), (ends, pa.int64()))]
             yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), *lists], ["doc_id", "ids", "begins", "ends"])
@@ -316,7 +319,7 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         sha = lambda b: hashlib.sha256(b).hexdigest()
-        for b in slices(batches):
+        for b in slices(batches, most=STEP):
             normal = own.normalise(texts(column_of(b, "text")))
             pieces = own.chunks(normal)
             begins, ends, first = own.spans(normal, pieces)
