@@ -10,26 +10,13 @@ from ..sources.scratch import written
 
 __all__ = ["components", "most_frequent", "written"]
 
-#: Rows of a node from which on it is a hub, at least, and hubs at most (half of it, both ways counted): a hub's lowest
-#: neighbour goes to every worker, so that its edges needn't come together in one task.
-HUB_ROWS, HUBS = 256, 1 << 16
-
-
-def _with_lowest(edges: DataFrame, n: int) -> DataFrame:
-    """edges(a, b) with m, the lowest of a and all its b. n: rows of edges, about."""
-    low = edges.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("_rows"))
-    many = max(HUB_ROWS, n // HUBS)
-    hubs = F.broadcast(low.where(F.col("_rows") > many).select("a", "m"))  # n / many rows at most
-    others = edges.join(hubs.select("a"), "a", "left_anti").join(low.where(F.col("_rows") <= many).select("a", "m"), "a")
-    return others.unionByName(edges.join(hubs, "a"))
-
-
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """node, label (the smallest node that it reaches) of every node in edges(a, b), two columns of longs.
 
     Alternates stars: each node's neighbours are tied to the smallest among them, first larger ones, then smaller ones,
     until nothing moves. Rows never outnumber the edges, each round is aggregated before it is shuffled, and its table is
-    deleted once the next one is there.
+    deleted once the next one is there. A node of very many edges is one key of the joins: they are plain inner joins of
+    two longs on each side, which adaptive execution splits where such a key outgrows a task.
     """
     spark = edges.sparkSession
     kept: list[str] = []
@@ -51,10 +38,12 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         before = now
         # large star: of each node's neighbours, the larger ones go to the smallest of it and them
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _with_lowest(both, 2 * now[0]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        e = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: the smaller ones, and the node itself, go to the smallest
+        low = e.groupBy("a").agg(F.min("b").alias("m"))
         ties = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))
-        e = stored(_with_lowest(large, now[0]).select(F.explode(ties).alias("x")).select("x.a", "x.b").where("a <> b").distinct())
+        e = stored(e.join(low, "a").select(F.explode(ties).alias("x")).select("x.a", "x.b").where("a <> b").distinct())
     else:
         raise RuntimeError(f"components didn't settle in {rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

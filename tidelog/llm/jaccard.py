@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ._graph import components, most_frequent, written
-from ._text import U64, chained, column_of, lower_ascii, named, raw, slices, spans, table_of, texts
+from ._text import U64, chained, column_of, lower_ascii, named, raw, release, slices, spans, table_of, texts
 
 #: Bytes between words.
 GAP = table_of((9, 13), (32, 32))
@@ -396,6 +396,8 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     grams = grams.view(U64)
     order = np.argsort(grams)
     shared = sc.broadcast((grams[order], rank[order]))
+    del top, grams, count, rank, order
+    release()
 
     posted = docs.mapInArrow(_second_pass(n, percent, shared), "v long, u long, size long, grams array<long>")
     posted = posted.groupBy("v", "u").agg(F.first("size").alias("size"), F.first("grams").alias("grams"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._text import U64, column_of, lower_ascii, raw, slices, texts
+from ._text import U64, column_of, lower_ascii, raw, release, slices, texts
 
 ORDER = 4
 SAMPLE, SAMPLE_BYTES = 300, 16_384
@@ -164,7 +164,10 @@ def train(docs: DataFrame, learn: Column | None = None) -> Trees:
     rows = rows.join(F.broadcast(first.select("lang", "h", "long")), ["lang", "h", "long"]).groupBy("lang", "h", "long").agg(F.min("head").alias("head"))
     got = rows.select("lang", "head").toArrow()  # SAMPLE x SAMPLE_BYTES for each language, at most
     # a head may end inside a character
-    return fit(sorted(zip(got.column("lang").to_pylist(), [h.decode(errors="ignore") for h in got.column("head").to_pylist()], strict=True)))
+    trees = fit(sorted(zip(got.column("lang").to_pylist(), [h.decode(errors="ignore") for h in got.column("head").to_pylist()], strict=True)))
+    del got
+    release()  # the driver goes on with other work
+    return trees
 
 
 def predict(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
