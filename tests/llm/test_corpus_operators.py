@@ -68,6 +68,45 @@ def test_jaccard(spark, monkeypatch, n, percent, short, block):
     assert rows(jaccard.join(df, n, percent)) == brute_components(docs, n, percent)
 
 
+@pytest.mark.parametrize("long", [5, 4096])
+def test_jaccard_columns_of_many_entries(spark, monkeypatch, long):
+    for name, value in (("SHORT", 2), ("LONG", long), ("BLOCK", 8), ("SHARED_FROM", 1 << 40)):
+        monkeypatch.setattr(jaccard, name, value)
+    docs = corpus(9)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows(jaccard.join(df, 4, 70)) == brute_components(docs, 4, 70)
+
+
+def test_jaccard_texts_that_share_a_common_phrase_stay_apart(spark, monkeypatch):
+    """They aren't brought together as candidates; texts that do link are."""
+    found = []
+    monkeypatch.setattr(jaccard, "components", lambda edges: found.append(components(edges)) or found[-1])
+    monkeypatch.setattr(jaccard, "SHARED_FROM", 1 << 40)  # nothing is known as shared
+    phrase = "all of these share a phrase of twenty words that is a third of each but by far too little"
+    docs = [(k, f"{phrase} " + " ".join(f"w{k}x{j}" for j in range(40))) for k in range(200)]
+    docs += [(1000 + k, docs[k][1] + " end") for k in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard.join(df, 4, 80).collect()}
+    assert got == {k: k % 1000 for k, _ in docs}
+    assert found[0].count() == 6
+
+
+def test_jaccard_parity_bits_miss_no_link():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 2, 30, 127, 128, 129, 500, 2000)]
+    sets += [np.unique(np.concatenate([rng.choice(s, max(1, int(len(s) * share)), replace=False), rng.integers(0, 1 << 63, int(len(s) * more)).astype(np.uint64)])) for s in sets for share in (0.5, 0.9, 1) for more in (0, 0.1, 0.3)]
+    sets = sorted(sets, key=len)
+    for percent in (1, 50, 80, 85, 100):
+        size = np.array([len(s) for s in sets])
+        root = list(range(len(sets)))
+        for a, b in jaccard.may_link(size, [jaccard.parity(s) for s in sets], percent):
+            root = [root[a] if x == root[b] else x for x in root]
+        both = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+        links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * both[i][j] >= percent * (size[i] + size[j] - both[i][j])]
+        assert all(root[i] == root[j] for i, j in links)
+        assert percent < 80 or len(set(root)) > 12  # and it keeps unlike sets apart
+
+
 def test_jaccard_keeps_one_of_each(spark):
     docs = [(3, "a b c d e f", "x"), (1, "A b c d e f", "y"), (1, "A b c d e f", "y"), (None, "a b c d e f", None), (4, "g h i j k", "z"), (5, "", "e"), (6, None, None), (7, "", "e")]
     df = spark.createDataFrame(docs, "doc_id long, text string, v string")

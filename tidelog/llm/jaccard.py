@@ -8,8 +8,10 @@ Two documents link when percent * |union| <= 100 * |intersection| of their sets
    in which n-grams are tried, rare ones first, so any subset of them keeps the join exact.
 3. Of each class, only so many first n-grams in that order are posted that no link can be missed (the rest alone can't
    reach the threshold). Columns of the incidence matrix with few entries are multiplied out, overlaps are summed for
-   each pair, and pairs below the bound that follows from their sizes are discarded. Columns with many entries are not
-   multiplied out: their classes are tied into one group, in runs of sizes that could link.
+   each pair, and pairs below the bound that follows from their sizes are discarded. Of columns with more entries the
+   classes are compared by parity bits of their whole sets, a bit or more for each n-gram: two sets differ in at least as
+   many n-grams as their bits do, so no link is missed, and texts that share but a common n-gram stay apart. Only columns
+   of more than LONG entries are tied into one group unseen, in runs of sizes that could link.
 4. Pairs left and groups give candidate components. Of each, whole texts are brought together in blocks of
    bounded size, every pair of blocks is multiplied exactly, and only links that join two components leave a block.
 5. Components of those links give the result.
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from ..sources.scratch import drop
 from ._graph import components, most_frequent, written
 from ._text import U64, chained, column_of, lower_ascii, named, raw, release, slices, spans, table_of, texts
 
@@ -44,6 +47,10 @@ SHARED, SHARED_FROM = 1 << 19, 8
 COUNTED, REPORTED_FROM = 3 << 21, 2
 #: Entries up to which a column of the incidence matrix is multiplied out pair by pair.
 SHORT = 32
+#: Entries up to which the classes of a longer column are compared by parity bits; what names them in _columns().
+LONG, MEMBER = 4096, -2
+#: Parity bits of a set: the power of two from its size on, within these.
+LEAST_BITS, MOST_BITS = 128, 1 << 15
 #: Classes in a block of the exact product, and entries up to which its columns are multiplied out one by one.
 BLOCK, SPARSE = 512, 24
 #: Bits of the filter that spares reading the sets of classes without candidates; its size is fixed.
@@ -83,6 +90,49 @@ def needed(size: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-percent * size // 100)
 
 
+def parity(grams: np.ndarray) -> bytes:
+    """For each residue of the names, whether the set has an odd number of them. Halves XORed are the bits of half as many."""
+    m = min(max(LEAST_BITS, 1 << (len(grams) - 1).bit_length()), MOST_BITS)
+    return np.packbits(np.bincount((grams & U64(m - 1)).astype(np.int64), minlength=m) & 1, bitorder="little").tobytes()
+
+
+def may_link(size: np.ndarray, bits: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Index pairs that connect all sets that could link by their sizes and parity bits; sizes ascend."""
+    level = np.array([len(b) // 8 for b in bits])
+    place = np.empty(len(bits), np.int64)
+    folded: dict[tuple[int, int], np.ndarray] = {}
+    for k in np.unique(level).tolist():
+        own = np.flatnonzero(level == k)
+        place[own] = np.arange(len(own))
+        folded[k, k] = np.frombuffer(b"".join(bits[i] for i in own), "<u8").reshape(len(own), k)
+
+    def at(k: int, j: int) -> np.ndarray:
+        """The bits of the sets of level k as those of level j, which isn't above it."""
+        if (k, j) not in folded:
+            folded[k, j] = np.bitwise_xor.reduce(folded[k, k].reshape(-1, k // j, j), axis=1)
+        return folded[k, j]
+
+    low, high = np.searchsorted(size, -(-percent * size // 100)), np.searchsorted(size, 100 * size // percent, side="right")
+    fresh, out = np.ones(len(bits), bool), []
+    for start in range(len(bits)):
+        reached = [start] if fresh[start] else []
+        fresh[start] = False
+        while reached:
+            x = reached.pop()
+            others = low[x] + np.flatnonzero(fresh[low[x] : high[x]])
+            total = size[x] + size[others]
+            most = total + 2 * (-percent * total // (100 + percent))  # n-grams that one of two linked sets lacks
+            for k in np.unique(level[others]).tolist():
+                own = level[others] == k
+                j = min(k, int(level[x]))
+                differ = np.bitwise_count(at(k, j)[place[others[own]]] ^ at(int(level[x]), j)[place[x]]).sum(1)
+                found = others[own][differ <= most[own]]
+                fresh[found] = False
+                out += [(x, y) for y in found.tolist()]
+                reached += found.tolist()
+    return out
+
+
 def _first_pass(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
@@ -114,18 +164,19 @@ def _first_pass(n: int):
 
 
 def _second_pass(n: int, percent: int, shared):
-    """Name, size and the posted n-grams of each text's set, once where a task meets it again soon."""
+    """Name, size, the posted n-grams and the parity bits of each text's set, once where a task meets it again soon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value  # sorted n-grams, and their place from the rarest on
         seen: set[tuple[int, int]] = set()
         for b in slices(batches):
-            vs, sizes, posted = [], [], []
+            vs, sizes, posted, bits = [], [], [], []
             for s in ngram_sets(texts(column_of(b, "text")), n):
                 if not len(s) or (v := class_of(s)) in seen:
                     continue
                 if len(seen) < 1 << 17:
                     seen.add(v)
+                bits.append(parity(s))
                 if len(known):
                     i = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     # those that aren't known as shared come first, by hash; equal sets give equal orders
@@ -135,13 +186,16 @@ def _second_pass(n: int, percent: int, shared):
                 posted.append(s[: len(s) - needed(len(s), percent) + 1].view(np.int64))
             at = np.concatenate([[0], np.cumsum([len(p) for p in posted])]).astype(np.int32)
             flat = pa.array(np.concatenate(posted) if posted else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([*_halves(vs), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), flat)], ["v", "u", "size", "grams"])
+            yield pa.RecordBatch.from_arrays([*_halves(vs), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(at), flat), pa.array(bits, pa.binary())], ["v", "u", "size", "grams", "bits"])
 
     return run
 
 
 def _columns(percent: int):
-    """Products of short columns as pairs with overlap, and ties of long ones. Rows come sorted by gram, then size."""
+    """Products of short columns as pairs with overlap, and ties of those beyond LONG. Rows come sorted by gram, then size.
+
+    Entries of the columns between are rows with overlap MEMBER: the class, the n-gram, the set's size.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "size_a", "size_b", "overlap"]
@@ -149,7 +203,7 @@ def _columns(percent: int):
         def made(rows: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(5)], names)
 
-        # of a column that goes on in the next batch: its entries while it is short; then only the run's first and last
+        # of a column that goes on in the next batch: its entries up to LONG; then only the run's first and last
         gram, vs, ns = None, [], []
         head = last = None
         ties: list[tuple[int, int, int, int, int]] = []
@@ -172,11 +226,14 @@ def _columns(percent: int):
         def close() -> None:
             """Ends the open column."""
             nonlocal head, last, vs, ns
-            if head is None and len(vs) > 1:
+            if head is None and len(vs) > SHORT:
+                members.append(np.stack([np.array(vs), np.full(len(vs), gram), np.array(ns), np.zeros(len(vs), np.int64), np.full(len(vs), MEMBER)], 1))
+            elif head is None and len(vs) > 1:
                 pairs.append(product(np.array(vs), np.array(ns)))
             head, last, vs, ns = None, None, [], []
 
         pairs: list[np.ndarray] = []
+        members: list[np.ndarray] = []
         for b in batches:
             if not b.num_rows:
                 continue
@@ -190,7 +247,7 @@ def _columns(percent: int):
                     gram = g[x]
                 vs += v[x:y].tolist()
                 ns += s[x:y].tolist()
-                if head is not None or len(vs) > SHORT:
+                if head is not None or len(vs) > LONG:
                     for one in zip(vs, ns, strict=True):
                         tie(*one)
                     vs, ns = [], []
@@ -209,9 +266,46 @@ def _columns(percent: int):
                 out[:, 4] = np.where(tied, 1 << 40, overlap)
                 pairs = []
                 yield made(out)
+            if members:
+                yield made(np.concatenate(members))
+                members = []
         close()
-        if pairs:
-            yield made(np.concatenate(pairs))
+        if pairs or members:
+            yield made(np.concatenate(pairs + members))
+
+    return run
+
+
+def _compared(percent: int):
+    """Ties between the classes of each column that could link by their parity bits. Rows come sorted by gram, then size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, cs, sizes, bits = None, [], [], []
+
+        def ties() -> np.ndarray:
+            size, c = np.array(sizes, np.int64), np.array(cs, np.int64)
+            return c[np.array(may_link(size, bits, percent), np.int64).reshape(-1, 2)]
+
+        def made(rows: list[np.ndarray]) -> pa.RecordBatch:
+            rows = np.concatenate(rows)
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["a", "b"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g = column_of(b, "gram").to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]])).tolist()
+            out = []
+            for x, y in zip(cut[:-1], cut[1:], strict=True):
+                if gram != g[x]:
+                    out.append(ties())
+                    gram, cs, sizes, bits = g[x], [], [], []
+                cs += column_of(b, "c")[x:y].to_pylist()
+                sizes += column_of(b, "size")[x:y].to_pylist()
+                bits += column_of(b, "bits")[x:y].to_pylist()
+            if out:
+                yield made(out)
+        yield made([ties()])
 
     return run
 
@@ -399,21 +493,26 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     del top, grams, count, rank, order
     release()
 
-    posted = docs.mapInArrow(_second_pass(n, percent, shared), "v long, u long, size long, grams array<long>")
-    posted = posted.groupBy("v", "u").agg(F.first("size").alias("size"), F.first("grams").alias("grams"))
+    posted = docs.mapInArrow(_second_pass(n, percent, shared), "v long, u long, size long, grams array<long>, bits binary")
+    posted = posted.groupBy("v", "u").agg(F.first("size").alias("size"), F.first("grams").alias("grams"), F.first("bits").alias("bits"))
     posted = written(posted.withColumn("c", F.monotonically_increasing_id()))  # numbers hold once they are written
     # one row of each class gives its set: the one with the class's smallest doc_id
     own = rows.where("v IS NOT NULL").groupBy("v", "u").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
     classes = written(own.join(posted.select("v", "u", "c", "size"), ["v", "u"]))
     entries = posted.select("c", "size", F.explode("grams").alias("gram"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = entries.repartition(parts, "gram").sortWithinPartitions("gram", "size", "c").mapInArrow(_columns(percent), "a long, b long, size_a long, size_b long, overlap long")
+    pairs = written(entries.repartition(parts, "gram").sortWithinPartitions("gram", "size", "c").mapInArrow(_columns(percent), "a long, b long, size_a long, size_b long, overlap long"))
+    members = pairs.where(F.col("overlap") == MEMBER).select(F.col("a").alias("c"), F.col("b").alias("gram"), F.col("size_a").alias("size"))
+    members = members.join(posted.select("c", "bits"), "c").select("gram", "size", "c", "bits")
+    ties = members.repartition(parts, "gram").sortWithinPartitions("gram", "size", "c").mapInArrow(_compared(percent), "a long, b long")
     least = lambda size: F.ceil(percent * F.col(size) / 100)
     # what two sets can share beyond the posted n-grams, at most, and what they must share in all
     rest = F.greatest(least("size_a"), least("size_b")) - 1
     must = F.ceil(percent * (F.col("size_a") + F.col("size_b")) / (100 + percent))
-    near = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("overlap").alias("overlap")).where(F.col("overlap") + rest >= must)
-    candidates = written(components(near.select("a", "b")))
+    near = pairs.where(F.col("overlap") != MEMBER).groupBy("a", "b", "size_a", "size_b").agg(F.sum("overlap").alias("overlap")).where(F.col("overlap") + rest >= must)
+    candidates = written(components(near.select("a", "b").unionByName(ties)))
+    for done in (common, posted, pairs):  # all that is left of them is in classes and candidates
+        drop(done)
 
     # a large group is cut by size into bands so wide that links never reach further than the next one
     sized = candidates.join(classes.select(F.col("c").alias("node"), "size"), "node")

@@ -34,6 +34,12 @@ def delete(spark: SparkSession, at: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop(df: DataFrame) -> None:
+    """Deletes the tables of written() that df reads, once nothing reads them any more."""
+    for at in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, at)
+
+
 def clear(spark: SparkSession) -> None:
     """Deletes all that written() has kept in this session; for the owner of the session, once results are stored."""
     delete(spark, root(spark))
