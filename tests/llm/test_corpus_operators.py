@@ -6,6 +6,7 @@ import os
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import jaccard, language, mixing, neighbours, toxicity
 from tidelog.llm._graph import components
+from tidelog.sources import scratch
 
 SF = "/root/testdata/sf0.01"
 tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
@@ -114,6 +116,15 @@ def test_jaccard_keeps_one_of_each(spark):
     assert jaccard.one_of_each(df.limit(0), 5, 80).count() == jaccard.join(df.limit(0)).count() == 0
 
 
+def test_jaccard_leaves_no_finished_tables(spark):
+    """Of the tables between steps, those that the result doesn't read are deleted, but for small ones of components."""
+    before = {p.parent for p in Path(scratch.root(spark).removeprefix("file:")).rglob("*.parquet")}
+    df = spark.createDataFrame([(k, f"a b c d e f {k % 9}", "x") for k in range(40)], "doc_id long, text string, v string")
+    assert jaccard.one_of_each(df, 5, 80).count() == 9
+    left = [spark.read.parquet(str(p)).columns for p in {p.parent for p in Path(scratch.root(spark).removeprefix("file:")).rglob("*.parquet")} - before]
+    assert not [c for c in left if {"grams", "gram", "overlap"} & set(c)] and sum("size" in c for c in left) <= 1
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

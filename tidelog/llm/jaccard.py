@@ -439,9 +439,11 @@ def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     Documents without words are linked with nothing, so all of them stay. Columns stay as they are, and may have any
     names; rows that are alike in doc_id and text are one. Only rows of classes that a second row shares are shuffled.
     """
-    _, classes = _classes(docs.select("doc_id", "text"), n, percent)
+    rows, classes = _classes(docs.select("doc_id", "text"), n, percent)
     total = classes.groupBy("label").agg(F.sum("n").alias("rows")).where("rows > 1")
     shared = written(classes.join(total, "label", "left_semi"))
+    for done in (rows, classes):
+        drop(done)
     least = F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("v"), F.col("u"))
     stands = shared.groupBy("label").agg(F.min(least).alias("x")).select("x.least", "x.v", "x.u")
     names = []
