@@ -384,6 +384,21 @@ def test_toxicity_learns(spark):
     assert {x.score for x in toxicity.score(d, none).collect()} == {0.0} and toxicity.score(d.limit(0), none).count() == 0
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """However many there are, in however many partitions, and however long: each word is counted, the three of padding too."""
+    docs = [(k, f"plain words number {k} " + ("scumline" if k % 2 else "fine"), "en") for k in range(9000)]
+    docs += [(20000 + k, "le mot " * 4000 + "vilegrit", "fr") for k in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(8)
+    lab = spark.createDataFrame([(k, int(k >= 20000 or k % 2 == 1)) for k, *_ in docs], "doc_id long, toxic int")
+    model = toxicity.train(d, lab, F.lit(True))
+    begin = {k: toxicity.word_rows(pa.array([k], pa.large_string()))[0][0, 0] for k in ("plain", "mot")}
+    share = np.exp(model.guess)
+    assert abs(share[begin["plain"], 0] / (9000.1 / (9000 * 8 + 0.1 * (toxicity.BUCKETS + 1))) - 1) < 0.01
+    assert abs(share[begin["mot"], 1] - 160_000 / (40 * 8004 + 0.1 * (toxicity.BUCKETS + 1))) < 1e-3
+    got = {x.doc_id: x.predicted for x in toxicity.score(d, model).collect()}
+    assert sum(got[k] == int(k >= 20000 or k % 2) for k in got) > 0.99 * len(got)
+
+
 def small_model(rng):
     """A model of few, large numbers; float64, so that differences can be taken."""
     e = rng.standard_normal((toxicity.BUCKETS + 1, toxicity.DIM))
